@@ -1,19 +1,52 @@
-"""The text pipeline: filled in as its operators arrive."""
+"""The text pipeline: language, toxicity, near-duplicates, mixture, then pieces.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftwell.llm import mixing
+from siftwell.llm import langid, minhash, mixing, pieces, toxicity
 from siftwell.session import read_table
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights."""
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the table teaches."""
+    return langid.keep_known(docs)
+
+
+def clean_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    return toxicity.keep_clean(docs, read_table(spark, sf_dir, "labels"))
+
+
+def first_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.deduplicate(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target takes them."""
     return mixing.mix(docs)
 
 
-STAGES = [("mix", mix_sources)]
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, with what proves the round trip."""
+    return pieces.encode(docs).withColumn("n_ids", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("language", known_languages),
+    ("toxicity", clean_texts),
+    ("near_duplicates", first_of_each),
+    ("mixture", mixed_sources),
+    ("pieces", encoded),
+]
+
+#: Learned models and the piece search are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 

@@ -45,7 +45,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MA
         .withColumn("below", F.sum("cap").over(filled.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("above", F.sum("weight").over(filled.rowsBetween(0, Window.unboundedFollowing)))
         .withColumn("level", (F.col("total") - F.coalesce("below", F.lit(0.0))) / F.col("above"))
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
+        # the first source in this order that its level leaves below its cap sets the level of all after it
+        .withColumn("nth", F.row_number().over(filled))
+        .withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("nth", "level"))).over(everything)["level"])
         .withColumn("target", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))))
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -138,8 +140,9 @@ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WH
              source_size * 2.0::DOUBLE AS cap FROM totals),
 r AS (SELECT *, cap / weight AS ratio, (SELECT sum(source_size) FROM totals)::DOUBLE * 1.5::DOUBLE AS total FROM w),
 f AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-             / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
-t AS (SELECT source, source_size, least(cap, coalesce((SELECT min(level) FROM f WHERE level <= ratio) * weight, cap)) AS target FROM f),
+             / sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+             row_number() OVER (ORDER BY ratio, source NULLS LAST) AS nth FROM r),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(level, nth) FROM f WHERE level <= ratio) * weight, cap)) AS target FROM f),
 g AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
 run AS (SELECT s.*, g.source_size, g.target, g.whole, g.target - g.whole * g.source_size AS rest,
                coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead

@@ -143,8 +143,10 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     joined = own.join(known, F.col("next_hash") == F.col("known_hash"), "left")
     counts = near_counts(own.select("doc_id", "fp"), radius)
     counts = counts.withColumnRenamed("fp", "query_fp")
-    queries = F.pmod(F.col("doc_id"), F.lit(QUERY_STRIDE)) == 0
-    joined = joined.join(counts, (F.when(queries, F.col("fp")) == F.col("query_fp")), "left")
+    # only query rows meet the counts: the others would share one null key
+    asks = F.coalesce(F.pmod(F.col("doc_id"), F.lit(QUERY_STRIDE)) == 0, F.lit(False))
+    asking = joined.where(asks).join(counts, F.col("fp") == F.col("query_fp"), "left").drop("query_fp")
+    joined = asking.unionByName(joined.where(~asks).withColumn("n_near", F.lit(None).cast("long")))
     digits = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
     return joined.select(
         "doc_id",
