@@ -148,8 +148,8 @@ def distributed_quotas(counts: DataFrame, columns: tuple[str, ...], options: Sel
 
 def score_order(score: str, ties: list[str]) -> list[Column]:
     """Finite scores first and descending, then the tie columns."""
-    c = F.col(score)
-    return [(c.isNull() | F.isnan(c)).asc(), c.desc(), *[F.col(t).asc_nulls_first() for t in ties]]
+    c = F.col(score).cast("double")
+    return [F.when(~F.isnan(c), c).desc_nulls_last(), *[F.col(t).asc_nulls_first() for t in ties]]
 
 
 def best_of_bins(df: DataFrame, columns: tuple[str, ...], score: str, ties: list[str], quotas) -> DataFrame:

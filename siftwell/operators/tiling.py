@@ -90,28 +90,32 @@ def describe_images(images: DataFrame, options: PatchOptions = PatchOptions()) -
 
     Decoding, tiling and description of an image are one narrow step; image bytes are never shuffled.
     """
+    about = ["sample_id", "sample_slug", "source_shard", "source_index", *METADATA, "metadata_json", "is_cancer"]
     names = [f.name for f in TILE.fields]
 
-    def run(frames):
-        import pandas as pd
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
         from siftwell.schemas import BASE_FEATURES
         from siftwell.sources.codec import decode
 
-        for frame in frames:
+        schema = to_arrow_schema(TILE)
+        for batch in batches:
             out = []
-            for row in frame.to_dict("records"):
-                about = {k: row[k] for k in ("sample_id", "sample_slug", "source_shard", "source_index", *METADATA, "metadata_json", "is_cancer")}
+            for row in batch.to_pylist():
+                told = {k: row[k] for k in about}
                 try:
                     for tile in tiles_of(decode(row["bytes"]), row["rle_mask"], options):
-                        out.append(about | tile | dict(zip(BASE_FEATURES, tile.pop("features"), strict=True)))
+                        features = tile.pop("features").tolist()
+                        out.append(dict.fromkeys(names) | told | tile | dict(zip(BASE_FEATURES, features, strict=True)))
                 except Exception as e:  # one broken image must not end the job
-                    out.append(about | {"error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(out, columns=names).astype({"is_cancer": "Int32"})
+                    out.append(dict.fromkeys(names) | told | {"error": f"{type(e).__name__}: {e}"})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     # a few images at a time: an image may be large
     images.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    return prepare(images).mapInPandas(run, TILE)
+    return prepare(images).mapInArrow(run, TILE)
 
 
 def local_select(images: DataFrame, options: PatchOptions = PatchOptions()) -> DataFrame:

@@ -104,18 +104,18 @@ def truncated_normal(spark: SparkSession, n: int, mean: float, spread: float, lo
 def synthetic_images(spark: SparkSession, count: int, size: int = 256, seed: int = 7) -> DataFrame:
     """Seeded stained-looking images as records (jpg, json, source_shard, source_index)."""
 
-    def run(frames):
+    def run(batches):
         import json
 
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
         from siftwell.sources.codec import encode_png
 
-        for frame in frames:
+        for batch in batches:
             out = []
-            for i in frame["id"]:
-                rng = np.random.default_rng([seed, int(i)])
+            for i in batch.column("id").to_pylist():
+                rng = np.random.default_rng([seed, i])
                 rgb = np.full((size, size, 3), 240, np.uint8)
                 y, x = np.mgrid[:size, :size]
                 for _ in range(10):
@@ -124,9 +124,11 @@ def synthetic_images(spark: SparkSession, count: int, size: int = 256, seed: int
                     inside = ((y - cy) / ry) ** 2 + ((x - cx) / rx) ** 2 <= 1 if round_ else (abs(y - cy) <= ry) & (abs(x - cx) <= rx)
                     rgb[inside] = rng.integers(60, 200, 3)
                 rgb = np.clip(rgb + rng.integers(-6, 7, rgb.shape), 0, 255).astype(np.uint8)
-                told = {"gene": f"gene{i % 4}", "tissue": f"tissue{i % 3}", "md5": f"sample{i:06d}", "is_cancer": int(i % 2)}
-                out.append((encode_png(rgb), f"image{i}.png", json.dumps({"custom_metadata": told}), f"synthetic-{i % 4}.arrow", int(i) // 4))
-            yield pd.DataFrame(out, columns=["bytes", "path", "json", "source_shard", "source_index"])
+                told = {"gene": f"gene{i % 4}", "tissue": f"tissue{i % 3}", "md5": f"sample{i:06d}", "is_cancer": i % 2}
+                out.append((encode_png(rgb), f"image{i}.png", json.dumps({"custom_metadata": told}), f"synthetic-{i % 4}.arrow", i // 4))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = (pa.binary(), pa.string(), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bytes", "path", "json", "source_shard", "source_index"])
 
-    rows = spark.range(count).mapInPandas(run, "bytes binary, path string, json string, source_shard string, source_index bigint")
+    rows = spark.range(count).mapInArrow(run, "bytes binary, path string, json string, source_shard string, source_index bigint")
     return rows.select(F.struct("bytes", "path").alias("jpg"), "json", "source_shard", "source_index")
