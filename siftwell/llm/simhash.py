@@ -22,7 +22,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwell.llm.support import BROADCAST_ROWS, WORD, settle, small
+from siftwell.functions.ranges import range_of
+from siftwell.llm.support import settle, small
 
 RADIUS = 3
 #: Words a run of byte lanes can count without carrying or reaching the sign bit.
@@ -96,15 +97,8 @@ def _ranges(docs: DataFrame) -> list[int]:
 
 
 def _range_of(bounds: list) -> Column:
-    """The range of a doc_id as a balanced tree of comparisons."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(F.col("doc_id") >= F.lit(bounds[mid]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
-
-    return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(tree(0, len(bounds) - 1)) if bounds else F.lit(-1)
+    """The range of a doc_id; null ids come before all others."""
+    return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(range_of(F.col("doc_id"), bounds[1:]))
 
 
 def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
@@ -122,7 +116,7 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
     heads = settle(heads.select(F.col("range").alias("head_range"), F.coalesce(F.lead("h").over(ring), first)["text"].alias("head")))
     order = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
     rows = rows.withColumn("following", F.lead("text").over(order))
-    joined = rows.join(small(heads) if len(bounds) <= BROADCAST_ROWS else heads, F.col("range") == F.col("head_range"), "left")
+    joined = rows.join(small(heads), F.col("range") == F.col("head_range"), "left")
     both = joined.select("doc_id", "text", F.coalesce("following", "head").alias("following"))
     changed = both.select(
         "doc_id",

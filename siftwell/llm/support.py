@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import os
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftwell.tables import settle
+
+__all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "WORD", "arrow_batches", "order_key", "settle", "small"]
+
 #: Most rows of a table that may be broadcast; beyond it Spark picks the join itself.
 BROADCAST_ROWS = 100_000
 #: Rows of an Arrow batch handed to Python: bounds a worker's memory on very long texts.
@@ -18,31 +17,6 @@ BATCH_ROWS = 256
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's ``spark.checkpoint.dir``, or a local one if unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join("/tmp/checkpoints", spark.sparkContext.applicationId)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Drop a settled table if the driver's JVM still answers."""
-    with contextlib.suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there: a lost executor costs no earlier work.
-
-    The table is removed when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame) -> DataFrame:
     """``df``, marked for broadcast only if its counted rows stay below ``BROADCAST_ROWS``."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
