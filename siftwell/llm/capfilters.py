@@ -115,20 +115,20 @@ def _decoder(k: int):
     return run
 
 
-def _repeats(filters: list[np.ndarray], below: int, hit: np.ndarray) -> np.ndarray | None:
-    """Which of the members have a common filter below the given one, as a matrix."""
-    lists = [filters[m][filters[m] < below] for m in hit]
-    owner = np.repeat(np.arange(len(hit)), [len(x) for x in lists])
+def _repeats(filters: list[np.ndarray], below: int) -> np.ndarray | None:
+    """Which members have a common filter below the given one, as a matrix; ``filters`` lists each member's."""
+    lists = [f[f < below] for f in filters]
+    owner = np.repeat(np.arange(len(filters)), [len(x) for x in lists])
     values, index, seen = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     use = seen[index] > 1
     if not use.any():
         return None
     _, index = np.unique(index[use], return_inverse=True)
     owner = owner[use]
-    common = np.zeros((len(hit), len(hit)), np.float32)
+    common = np.zeros((len(filters), len(filters)), np.float32)
     for low in range(0, int(index.max()) + 1, 4096):
         part = (index >= low) & (index < low + 4096)
-        dense = np.zeros((len(hit), 4096), np.float32)
+        dense = np.zeros((len(filters), 4096), np.float32)
         dense[owner[part], index[part] - low] = 1
         common += dense @ dense.T
     return common > 0
@@ -163,7 +163,7 @@ def _linker(cosine: float):
                 if not len(hit):
                     continue
                 near = near[np.ix_(hit, hit)]
-                seen = _repeats([ids[fat[a + m] : fat[a + m + 1]] for m in hit], int(names[g]), hit)
+                seen = _repeats([ids[fat[a + m] : fat[a + m + 1]] for m in hit], int(names[g]))
                 if seen is not None:
                     near &= ~seen
                 i, j = np.nonzero(np.triu(near, 1))
