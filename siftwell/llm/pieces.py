@@ -5,8 +5,9 @@ in which the file lists its pieces); bytes stand in for characters that no piece
 kept for a window bounded by the longest piece: whenever the back pointers of all live positions meet in
 one boundary, the ids before it are final and are passed on, so memory does not grow with the text.
 
-No piece holds a space after another character, and none a line feed, so all paths meet there; such
-stretches are searched once and remembered in a bounded memory. The file's own library would merge
+Two characters that stand side by side in no piece always part, so all paths meet between them (before
+every space, around line feeds and most punctuation); the stretches between such places are searched once
+and remembered in a bounded memory. The file's own library would merge
 pairs instead; both give pieces of the same vocabulary that decode to the same text, and decoding
 here is exact for every text: spaces stand for themselves and a literal U+2581 becomes bytes.
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from siftwell.llm.support import arrow_batches
 
 VOCABULARY = os.environ.get("SIFTWELL_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
-#: Characters between searches for a common boundary; stretches remembered, and their longest.
+#: Characters between searches for a common boundary; stretches remembered in each of two generations, and their longest.
 COMMIT_EVERY, REMEMBERED, LONGEST_REMEMBERED = 64, 300_000, 48
 BYTE_COST = -20.0
 _STRETCH = re.compile(r" *[^ \n]+|\n| +")
@@ -51,11 +52,42 @@ class Pieces:
             elif p not in ("<unk>", "<s>", "</s>"):
                 text = p.replace("▁", " ")
                 # runs of spaces carry no rank: the longest run wins
-                self.ids[text] = (i, -log((1 if not text.strip(" ") and len(text) > 1 else max(rank, 0)) + 2) - total)
+                self.ids[text] = (i, -log((1 if not text.strip(" ") and len(text) > 1 else min(max(rank, 0), len(listed))) + 2) - total)
                 self.table[i] = text.encode()
         self.longest = max(map(len, self.ids))
         self.parts = not any(" " in t.lstrip(" ") or "\n" in t for t in self.ids)
-        self.memory: dict[str, tuple[int, ...]] = {}
+        self.joined = {t[k : k + 2] for t in self.ids for k in range(len(t) - 1)}
+        # every beginning of a piece, with its id and score where it is one
+        self.begun: dict[str, tuple[int, float] | None] = {t[:k]: None for t in self.ids for k in range(1, len(t))}
+        self.begun |= self.ids
+        self.young: dict[str, array] = {}
+        self.old: dict[str, array] = {}
+
+    def best(self, text: str) -> array:
+        """Ids of the best path over a short text."""
+        n, begun = len(text), self.begun
+        score, come, piece = [0.0] + [-1e300] * n, [0] * (n + 1), [0] * (n + 1)
+        for start in range(n):
+            s = score[start]
+            for end in range(start + 1, n + 1):
+                hit = begun.get(text[start:end], 0)
+                if hit == 0:
+                    break
+                if hit is not None and s + hit[1] > score[end]:
+                    score[end], come[end], piece[end] = s + hit[1], start, hit[0]
+            if text[start] not in self.ids:
+                raw = text[start].encode("utf-8", "surrogatepass")
+                if s + BYTE_COST * len(raw) > score[start + 1]:
+                    score[start + 1], come[start + 1], piece[start + 1] = s + BYTE_COST * len(raw), start, -1
+        out, at = [], n
+        while at:
+            if piece[at] < 0:
+                out += [self.bytes[x] for x in reversed(text[come[at] : at].encode("utf-8", "surrogatepass"))]
+            else:
+                out.append(piece[at])
+            at = come[at]
+        out.reverse()
+        return array("i", out)
 
     def search(self, text: str):
         """Yield the ids of the best path over ``text``, a stretch at a time as they become final."""
@@ -68,9 +100,10 @@ class Pieces:
                 hit = ids.get(text[start:end])
                 if hit is not None and (s := best[start - base] + hit[1]) > top:
                     top, how = s, (start, (hit[0],))
-            raw = text[end - 1].encode("utf-8", "surrogatepass")
-            if (s := best[end - 1 - base] + BYTE_COST * len(raw)) > top:
-                top, how = s, (end - 1, tuple(self.bytes[b] for b in raw))
+            if text[end - 1] not in ids:
+                raw = text[end - 1].encode("utf-8", "surrogatepass")
+                if (s := best[end - 1 - base] + BYTE_COST * len(raw)) > top:
+                    top, how = s, (end - 1, tuple(self.bytes[b] for b in raw))
             best.append(top)
             back.append(how)
             if end % COMMIT_EVERY == 0 or end == n:
@@ -95,23 +128,37 @@ class Pieces:
             live.add(back[last - base][0])
         return live.pop()
 
+    def _keep(self, stretch: str, got: array) -> array:
+        """Remember a stretch; what has not been asked for since two fillings is forgotten."""
+        if len(self.young) >= REMEMBERED:
+            self.old, self.young = self.young, {}
+        self.young[stretch] = got
+        return got
+
+    def _stretch(self, stretch: str) -> array:
+        """Ids of a stretch that is not among the young."""
+        got = self.old.get(stretch)
+        if got is not None:
+            return self._keep(stretch, got)
+        cuts = [k for k in range(1, len(stretch)) if stretch[k - 1 : k + 1] not in self.joined]
+        if not cuts:
+            if len(stretch) > LONGEST_REMEMBERED:
+                return array("i", self.search(stretch))
+            return self._keep(stretch, self.best(stretch))
+        out = array("i")
+        for a, b in zip([0, *cuts], [*cuts, len(stretch)], strict=True):
+            part = stretch[a:b]
+            out.extend(self.young.get(part) or self._stretch(part))
+        return self._keep(stretch, out) if len(stretch) <= LONGEST_REMEMBERED else out
+
     def encode(self, text: str) -> array:
         """Ids of ``text``; the text is read as if it began with a space."""
         out = array("i")
         if not text:
             return out
         text = " " + text
-        memory = self.memory
         for stretch in _STRETCH.findall(text) if self.parts else [text]:
-            got = memory.get(stretch)
-            if got is None:
-                if len(stretch) > LONGEST_REMEMBERED:
-                    out.extend(self.search(stretch))
-                    continue
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                got = memory[stretch] = array("i", self.search(stretch))
-            out.extend(got)
+            out.extend(self.young.get(stretch) or self._stretch(stretch))
         return out
 
     def decode(self, ids) -> str:
