@@ -68,22 +68,21 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         "tree", "node", "up", "score", F.lit(1).cast("long").alias("depth")
     )
     links = settle(links)
-    jumps = [links]
-    while jumps[-1].where(F.col("up").isNotNull()).limit(1).count():
+    # only nodes that have not reached their root go on; the others lend them their sums
+    open_ = F.col("up").isNotNull()
+    jumps, finished = [links.where(open_)], links.where(~open_)
+    while jumps[-1].limit(1).count():
         if len(jumps) > MAX_DOUBLINGS:
             raise ValueError("the replies of a tree form a cycle")
-        a = jumps[-1].alias("a")
-        b = jumps[-1].alias("b")
-        further = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.node")), "left").select(
-            F.col("a.tree").alias("tree"),
-            F.col("a.node").alias("node"),
-            F.col("b.up").alias("up"),
-            (F.col("a.score") + F.coalesce(F.col("b.score"), F.lit(0.0))).alias("score"),
-            (F.col("a.depth") + F.coalesce(F.col("b.depth"), F.lit(0))).alias("depth"),
+        b = jumps[-1].unionByName(finished).select(*[F.col(c).alias(f"b_{c}") for c in ("tree", "node", "up", "score", "depth")])
+        further = jumps[-1].join(b, (F.col("tree") == F.col("b_tree")) & (F.col("up") == F.col("b_node"))).select(
+            "tree", "node", F.col("b_up").alias("up"), (F.col("score") + F.col("b_score")).alias("score"), (F.col("depth") + F.col("b_depth")).alias("depth")
         )
-        jumps.append(settle(further))
+        further = settle(further)
+        jumps.append(further.where(open_))
+        finished = finished.unionByName(further.where(~open_))
     answered = links.where(F.col("up").isNotNull()).select("tree", F.col("up").alias("node"))
-    leaves = jumps[-1].join(answered, ["tree", "node"], "left_anti")
+    leaves = finished.join(answered, ["tree", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy((F.col("score") / F.col("depth")).desc(), "node"))
     reached = (
         leaves.withColumn("branch", rank)
@@ -92,7 +91,7 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     )
     # after step k a path holds its last 2^k nodes; each jump table is used from the shortest on
     for step, jump in enumerate(jumps[:-1]):
-        j = jump.select(F.col("tree").alias("jt"), F.col("node").alias("jn"), "up").where(F.col("up").isNotNull())
+        j = jump.select(F.col("tree").alias("jt"), F.col("node").alias("jn"), "up")
         back = reached.join(j, (F.col("tree") == F.col("jt")) & (F.col("node") == F.col("jn"))).select(
             "tree", "branch", F.col("up").alias("node"), (F.col("nth") - F.lit(2**step)).alias("nth")
         )
