@@ -7,6 +7,8 @@ the first two and of the last two parts are sorted, and only those that can stil
 joined, so the cost follows the filters found and not the filters there are. The code grows with the number
 of vectors, which holds the size of an ordinary filter constant.
 
+A vector in few caps takes its best filters instead, so that none is left with a short list.
+
 Vectors that share a filter are compared exactly, in blocks of at most ``BLOCK``; a pair counts only in its
 first common filter, and a task emits each member's link count and a spanning forest, never the pairs.
 Equal vectors are one class beforehand, so a large group of copies costs one vector.
@@ -32,8 +34,8 @@ from siftwell.llm.support import arrow_batches, settle
 
 COSINE = 0.95
 PARTS = 4
-#: Filters that a vector exceeds on average.
-LIST = 24
+#: Filters that a vector exceeds on average, and the fewest that it belongs to: its best ones.
+LIST, LEAST_LIST = 24, 16
 SEED = 90125
 BLOCK = 800
 #: A filter for each so many-th part of a vector: the code has about FILTERS_PER_VECTOR * n filters.
@@ -61,7 +63,7 @@ def code(dim: int, k: int) -> tuple[np.ndarray, list[np.ndarray], float]:
 def decode(unit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of every filter that the unit vectors exceed, by row and filter.
 
-    A vector that exceeds none belongs to its best filter.
+    A vector that exceeds fewer than ``LEAST_LIST`` belongs to that many of its best filters.
     """
     n, dim = unit.shape
     rotation, parts, threshold = code(dim, k)
@@ -73,8 +75,12 @@ def decode(unit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     second = (scores[2][:, :, None] + scores[3][:, None, :]).reshape(n, -1)
     order = np.argsort(-second, axis=1)
     ranked = np.take_along_axis(second, order, axis=1)
-    best = first.max(axis=1) + ranked[:, 0]
-    limit = np.minimum(threshold, best)
+    # the last of the best sums is among those of ranks i, j with (i + 1) (j + 1) <= LEAST_LIST
+    least = min(LEAST_LIST, k * k)
+    top = -np.sort(-first, axis=1)
+    i, j = (np.array(r) for r in zip(*[(i, j) for i in range(least) for j in range(least // (i + 1))], strict=True))
+    limit = -np.sort(-(top[:, i] + ranked[:, j]), axis=1)[:, least - 1]
+    limit = np.minimum(threshold, limit) - 1e-12
     row, left = np.nonzero(first >= (limit - ranked[:, 0])[:, None])
     need = limit[row] - first[row, left]
     reach = np.empty(len(row), np.int64)
