@@ -88,7 +88,8 @@ def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     at = place + np.repeat(starts, lengths)
     weights = _PLACES[place & (_SPAN - 1)]
     if int(lengths.max()) > _SPAN:
-        weights = mix64(weights + (place // _SPAN).astype(U64) * GOLDEN)
+        far = place >= _SPAN  # a word's hash must not depend on the words around it
+        weights[far] = mix64(weights[far] + (place[far] // _SPAN).astype(U64) * GOLDEN)
     sums = np.add.reduceat((low[at].astype(U64) + U64(1)) * weights, first)
     return mix64(sums + lengths.astype(U64) * GOLDEN)
 

@@ -8,13 +8,14 @@
 3. ``BANDS`` bands of ``ROWS`` registers give bucket keys. Buckets with one member drop out; a large bucket
    is cut into blocks and its pairs of blocks are compared apart, so no task holds more than two blocks.
    Each pair is weighed once, in its first common band, by the joint likelihood of its registers given both
-   set sizes; pairs whose likelihood falls at ``DOUBT`` are no longer plausible. A task emits a spanning
+   set sizes; pairs whose likelihood already falls ``DOUBT`` below the wanted similarity are implausible. A task emits a spanning
    forest of its plausible pairs, never the pairs.
 4. Components of the plausible forest are compared exactly: their full shingle sets meet in blocks, the
    intersections are counted, and a spanning forest of the links with
-   ``100 * intersection >= 85 * union`` is emitted. Components of those are the result.
+   ``100 * intersection >= link * union`` is emitted. Components of those are the result.
 
-A pair at similarity 0.85 shares no band with probability 8e-7 and is weighed implausible with 1e-5.
+A pair at similarity 0.85 (0.80) shares no band with probability 2e-10 (1e-7), and is weighed implausible
+with a probability of about 1e-5 (2e-5).
 
 Edge cases: documents without words have an empty set and link with nothing; a null doc_id links with
 nothing and has no component; rows that share a doc_id are one document to the links; equal texts always
@@ -34,13 +35,13 @@ from siftwell.llm import bytetext as bt
 from siftwell.llm.components import components
 from siftwell.llm.support import arrow_batches, settle
 
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 30, 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, LEVELS = 1.1, 20.0, 255
-#: Links need 100 * intersection >= LINK * union.
-LINK = 85
-#: Similarity at which the register likelihood must still rise for a pair to be plausible.
-DOUBT = 0.70
+#: Links need 100 * intersection >= link * union: the contract of the query, and the pipeline's.
+LINK, STAGE_LINK = 85, 80
+#: A pair is plausible if its register likelihood still rises so far below the link's similarity.
+DOUBT = 0.15
 #: Members of a bucket block; shingles and members of a verification block.
 BLOCK, SET_BLOCK, MEMBER_BLOCK = 800, 400_000, 800
 _SEED = bt.U64(0x5E75E7C4)
@@ -119,12 +120,12 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
     return (low + high) / 2
 
 
-def plausible(a, b, na, nb) -> np.ndarray:
-    """Whether the likelihood still rises at ``DOUBT``; the sizes alone must allow a link."""
+def plausible(a, b, na, nb, link: int = LINK) -> np.ndarray:
+    """Whether the likelihood still rises ``DOUBT`` below the link; the sizes alone must allow a link."""
     more, less = (a > b).sum(1), (a < b).sum(1)
     u = na / (na + nb)
-    fits = 100 * np.minimum(na, nb) >= LINK * np.maximum(na, nb)
-    return fits & (_slope(DOUBT, more, less, REGISTERS - more - less, u, 1 - u) > 0)
+    fits = 100 * np.minimum(na, nb) >= link * np.maximum(na, nb)
+    return fits & (_slope(link / 100 - DOUBT, more, less, REGISTERS - more - less, u, 1 - u) > 0)
 
 
 def _sketch(batches):
@@ -182,39 +183,42 @@ def _list_parts(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
 _PAIRS = 200_000
 
 
-def _weigh(batches):
-    for batch in batches:
-        sizes, members = _list_parts(batch.column("members"))
-        cross = batch.column("lo").to_numpy() != batch.column("hi").to_numpy()
-        keys = batch.column("key").to_numpy()
-        rep = members.field("rep").to_numpy(zero_copy_only=False)
-        n = members.field("n").to_numpy(zero_copy_only=False).astype(np.float64)
-        block = members.field("block").to_numpy(zero_copy_only=False)
-        regs = _matrix(members.field("regs"), REGISTERS)
-        bands = band_keys(regs)
-        left, right = [], []
-        ends = np.cumsum(sizes)
-        first = 0
-        while first < len(sizes):
-            # whole groups up to so many pairs; a larger group alone is two blocks at most
-            weight = np.cumsum(sizes[first:] * (sizes[first:] - 1) // 2)
-            last = first + max(1, int(np.searchsorted(weight, _PAIRS, side="right")))
-            i, j, g = bt.pairs_within(sizes[first:last])
-            base = ends[first] - sizes[first]
-            i, j, g = i + base, j + base, g + first
-            for at in range(0, len(i), _PAIRS):
-                a, b, own = i[at : at + _PAIRS], j[at : at + _PAIRS], g[at : at + _PAIRS]
-                use = ~cross[own] | (block[a] != block[b])
-                a, b, own = a[use], b[use], own[use]
-                shared = bands[a] == bands[b]
-                use = bands[a, shared.argmax(1)] == keys[own]
-                a, b = a[use], b[use]
-                if len(a):
-                    use = plausible(regs[a], regs[b], n[a], n[b])
-                    left.append(a[use])
-                    right.append(b[use])
-            first = last
-        yield _edges(rep, left, right)
+def _weigher(link: int):
+    def run(batches):
+        for batch in batches:
+            sizes, members = _list_parts(batch.column("members"))
+            cross = batch.column("lo").to_numpy() != batch.column("hi").to_numpy()
+            keys = batch.column("key").to_numpy()
+            rep = members.field("rep").to_numpy(zero_copy_only=False)
+            n = members.field("n").to_numpy(zero_copy_only=False).astype(np.float64)
+            block = members.field("block").to_numpy(zero_copy_only=False)
+            regs = _matrix(members.field("regs"), REGISTERS)
+            bands = band_keys(regs)
+            left, right = [], []
+            ends = np.cumsum(sizes)
+            first = 0
+            while first < len(sizes):
+                # whole groups up to so many pairs; a larger group alone is two blocks at most
+                weight = np.cumsum(sizes[first:] * (sizes[first:] - 1) // 2)
+                last = first + max(1, int(np.searchsorted(weight, _PAIRS, side="right")))
+                i, j, g = bt.pairs_within(sizes[first:last])
+                base = ends[first] - sizes[first]
+                i, j, g = i + base, j + base, g + first
+                for at in range(0, len(i), _PAIRS):
+                    a, b, own = i[at : at + _PAIRS], j[at : at + _PAIRS], g[at : at + _PAIRS]
+                    use = ~cross[own] | (block[a] != block[b])
+                    a, b, own = a[use], b[use], own[use]
+                    shared = bands[a] == bands[b]
+                    use = bands[a, shared.argmax(1)] == keys[own]
+                    a, b = a[use], b[use]
+                    if len(a):
+                        use = plausible(regs[a], regs[b], n[a], n[b], link)
+                        left.append(a[use])
+                        right.append(b[use])
+                first = last
+            yield _edges(rep, left, right)
+
+    return run
 
 
 def _edges(rep: np.ndarray, left: list, right: list) -> pa.RecordBatch:
@@ -236,19 +240,22 @@ def _blocks(rows: DataFrame, count, member: str) -> DataFrame:
     )
 
 
-def _compare(batches):
-    for batch in batches:
-        for k in range(batch.num_rows):
-            one = batch.column("members").slice(k, 1)
-            members = one.flatten()
-            ids = members.field("rep").to_numpy(zero_copy_only=False)
-            texts = members.field("text")
-            block = members.field("block").to_numpy(zero_copy_only=False)
-            crossed = batch.column("lo")[k].as_py() != batch.column("hi")[k].as_py()
-            yield _linked(ids, texts, block if crossed else None)
+def _comparer(link: int):
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.column("members").slice(k, 1)
+                members = one.flatten()
+                ids = members.field("rep").to_numpy(zero_copy_only=False)
+                texts = members.field("text")
+                block = members.field("block").to_numpy(zero_copy_only=False)
+                crossed = batch.column("lo")[k].as_py() != batch.column("hi")[k].as_py()
+                yield _linked(ids, texts, block if crossed else None, link)
+
+    return run
 
 
-def _linked(ids: np.ndarray, texts: pa.Array, block: np.ndarray | None) -> pa.RecordBatch:
+def _linked(ids: np.ndarray, texts: pa.Array, block: np.ndarray | None, link: int) -> pa.RecordBatch:
     """Links among whole texts, as a spanning forest."""
     owner, hashes = [], []
     for at in range(0, len(ids), 256):
@@ -274,14 +281,14 @@ def _linked(ids: np.ndarray, texts: pa.Array, block: np.ndarray | None) -> pa.Re
             dense[owner[a:b], code[a:b] - low] = 1
             common += dense @ dense.T
     both = common.astype(np.int64)
-    linked = np.triu((100 * both >= LINK * (sizes[:, None] + sizes[None, :] - both)) & (both > 0), 1)
+    linked = np.triu((100 * both >= link * (sizes[:, None] + sizes[None, :] - both)) & (both > 0), 1)
     if block is not None:
         linked &= block[:, None] != block[None, :]
     i, j = np.nonzero(linked)
     return _edges(ids, [i], [j])
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     own = settle(sketches(docs))
     classes = settle(
@@ -297,7 +304,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     details = classes.select(F.col("rep").alias("own_rep"), "n", "regs")
     rows = rows.join(details, F.col("rep") == F.col("own_rep"))
     buckets = rows.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("rep", "n", "block", "regs")).alias("members"))
-    groups = settle(components(buckets.mapInArrow(_weigh, "u long, v long")))
+    groups = settle(components(buckets.mapInArrow(_weigher(link), "u long, v long")))
 
     sized = groups.join(classes.select(F.col("rep"), "n"), F.col("node") == F.col("rep")).select("rep", "root", "n")
     totals = sized.groupBy(F.col("root").alias("r")).agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("members"))
@@ -307,7 +314,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     full = sized.join(texts, F.col("rep") == F.col("doc_id")).select("rep", "root", "blocks", "text")
     full = _blocks(full, F.col("blocks"), "rep")
     meet = full.groupBy("root", "lo", "hi").agg(F.collect_list(F.struct("rep", "block", "text")).alias("members"))
-    links = components(meet.mapInArrow(_compare, "u long, v long"))
+    links = components(meet.mapInArrow(_comparer(link), "u long, v long"))
 
     named = classes.select(F.col("n").alias("cn"), F.col("p1").alias("c1"), F.col("p2").alias("c2"), "rep")
     named = named.join(links, F.col("rep") == F.col("node"), "left").select("cn", "c1", "c2", F.coalesce("root", "rep").alias("found"))
@@ -321,12 +328,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, link: int = STAGE_LINK) -> DataFrame:
     """The rows of ``docs`` that are the first of their group; rows that repeat a doc_id keep one.
 
     Rows with a null doc_id link with nothing and stay.
     """
-    kept = near_duplicates(docs).where(F.col("kept")).select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = near_duplicates(docs, link).where(F.col("kept")).select(F.col("doc_id").alias("kept_id")).distinct()
     known = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
     once = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
     repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
