@@ -135,18 +135,18 @@ def _suspects(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.nd
     out = []
     for w in np.flatnonzero((mixed | stretched | dotted) & (ends - starts <= LONGEST_TOKEN)):
         out.append((int(rows[w]), low[starts[w] : ends[w]].tobytes().decode("utf-8", "replace")))
-    # letters spaced out: runs of words of one letter or sign
+    # letters spaced out: runs of words of one letter or sign, one blank apart
     single = (ends - starts == 1) & (n_letters + n_signs == 1)
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]]).astype(np.int8)))
-    for a, b in zip(edges[::2], edges[1::2], strict=True):
-        while a < b:
-            end = int(np.searchsorted(rows[a:b], rows[a], side="right")) + a
-            # long runs in overlapping pieces
-            for at in range(a, max(end - 2, a), LONGEST_TOKEN // 2):
-                part = low[starts[at : min(at + LONGEST_TOKEN, end)]].tobytes().decode("utf-8", "replace")
-                if len(part) >= 3:
-                    out.append((int(rows[a]), part))
-            a = end
+    follows = np.zeros(len(starts), bool)
+    follows[1:] = single[1:] & single[:-1] & (rows[1:] == rows[:-1]) & (starts[1:] == ends[:-1] + 1)
+    heads = np.flatnonzero(single & ~follows)
+    tails = np.flatnonzero(single & ~np.append(follows[1:], False)) + 1
+    for a, b in zip(heads, tails, strict=True):
+        # long runs in overlapping pieces
+        for at in range(a, max(b - 2, a), LONGEST_TOKEN // 2):
+            part = low[starts[at : min(at + LONGEST_TOKEN, b)]].tobytes().decode("utf-8", "replace")
+            if len(part) >= 3:
+                out.append((int(rows[a]), part))
     return out
 
 
@@ -189,7 +189,7 @@ def _word_features(low, starts, ends, rows) -> tuple[np.ndarray, np.ndarray]:
     whole = bt.word_hashes(low, starts, ends)
     out, owner = [whole], [rows]
     for size in (4, 5):
-        longer = ends - starts > size
+        longer = ends - starts >= size
         out.append(bt.word_hashes(low, starts[longer], starts[longer] + size) + bt.U64(size))
         owner.append(rows[longer])
     return np.concatenate(owner), np.concatenate(out)
