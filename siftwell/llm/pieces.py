@@ -57,24 +57,29 @@ class Pieces:
         self.longest = max(map(len, self.ids))
         self.parts = not any(" " in t.lstrip(" ") or "\n" in t for t in self.ids)
         self.joined = {t[k : k + 2] for t in self.ids for k in range(len(t) - 1)}
-        # every beginning of a piece, with its id and score where it is one
-        self.begun: dict[str, tuple[int, float] | None] = {t[:k]: None for t in self.ids for k in range(1, len(t))}
-        self.begun |= self.ids
+        # a tree of the pieces by character: (branches, id or -1, score)
+        self.root: tuple = ({}, -1, 0.0)
+        for t, (i, score) in sorted(self.ids.items()):
+            node = self.root
+            for c in t[:-1]:
+                node = node[0].setdefault(c, ({}, -1, 0.0))
+            node[0][t[-1]] = ({}, i, score)
         self.young: dict[str, array] = {}
         self.old: dict[str, array] = {}
 
     def best(self, text: str) -> array:
         """Ids of the best path over a short text."""
-        n, begun = len(text), self.begun
+        n, root = len(text), self.root
         score, come, piece = [0.0] + [-1e300] * n, [0] * (n + 1), [0] * (n + 1)
         for start in range(n):
-            s = score[start]
-            for end in range(start + 1, n + 1):
-                hit = begun.get(text[start:end], 0)
-                if hit == 0:
+            s, node, end = score[start], root, start
+            for c in text[start:]:
+                node = node[0].get(c)
+                if node is None:
                     break
-                if hit is not None and s + hit[1] > score[end]:
-                    score[end], come[end], piece[end] = s + hit[1], start, hit[0]
+                end += 1
+                if node[1] >= 0 and s + node[2] > score[end]:
+                    score[end], come[end], piece[end] = s + node[2], start, node[1]
             if text[start] not in self.ids:
                 raw = text[start].encode("utf-8", "surrogatepass")
                 if s + BYTE_COST * len(raw) > score[start + 1]:
@@ -140,7 +145,9 @@ class Pieces:
         got = self.old.get(stretch)
         if got is not None:
             return self._keep(stretch, got)
-        cuts = [k for k in range(1, len(stretch)) if stretch[k - 1 : k + 1] not in self.joined]
+        # nearly all letters join somewhere: words of letters are searched whole
+        word = stretch.isalpha() or stretch[1:].isalpha()
+        cuts = [] if word else [k for k in range(1, len(stretch)) if stretch[k - 1 : k + 1] not in self.joined]
         if not cuts:
             if len(stretch) > LONGEST_REMEMBERED:
                 return array("i", self.search(stretch))
