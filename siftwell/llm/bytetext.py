@@ -12,6 +12,8 @@ U64 = np.uint64
 #: Fixed mixing constants of the public splitmix64 generator.
 GOLDEN, MIX_A, MIX_B = U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)
 SHINGLE = 5
+#: Bytes of text worked on at once: the arrays beside them are many times as large.
+BATCH_BYTES = 4 << 20
 #: Bits of a shingle hash that stay beside eight bits for the row of a batch.
 HASH_BITS = 56
 _SPAN = 4096
@@ -58,6 +60,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def bounded(batches, column: str = "text", limit: int = BATCH_BYTES):
+    """Arrow batches cut so that their texts hold at most ``limit`` bytes, or one text alone."""
+    for batch in batches:
+        _, ends = utf8(batch.column(column))
+        first = 0
+        while first < batch.num_rows:
+            last = max(int(np.searchsorted(ends, ends[first] + limit, side="right")) - 1, first + 1)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def words(body: np.ndarray, offsets: np.ndarray, inside: np.ndarray = PLAIN_WORDS):
     """Words of lower-cased rows: (lowered bytes, starts, ends, row of each word)."""
     low = _LOWER[body]

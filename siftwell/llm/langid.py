@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm import bytetext as bt
 from siftwell.llm import letters
 from siftwell.llm.support import arrow_batches
 
@@ -71,7 +72,7 @@ def _bundle(counts: dict) -> pa.RecordBatch:
 
 def _learn(batches):
     counts: dict = {}
-    for batch in batches:
+    for batch in bt.bounded(batches):
         langs = np.array(batch.column("lang").to_pylist(), dtype=object)
         owner, tri = letters.trigrams(batch.column("text"))
         for name in sorted(set(langs)):
@@ -124,7 +125,7 @@ def _predictor(names: list[str], vectors: np.ndarray):
     choice = np.array([*names, UNKNOWN], dtype=object)
 
     def run(batches):
-        for batch in batches:
+        for batch in bt.bounded(batches):
             n = batch.num_rows
             best, score = np.full(n, len(names)), np.zeros(n)
             if names and n:

@@ -85,7 +85,7 @@ def _counts(batches):
     """How many documents hold each template word."""
     known = Templates()
     seen = np.zeros(len(known.hashes), np.int64)
-    for batch in batches:
+    for batch in bt.bounded(batches):
         low, starts, ends, rows = bt.words(*bt.utf8(batch.column("text")), bt.ALNUM_WORDS)
         code = known.codes(bt.word_hashes(low, starts, ends))
         use = code >= 0
@@ -148,7 +148,7 @@ def _meet(known: Templates, code: np.ndarray, line: np.ndarray, nth: np.ndarray,
 def _scanner(counts: dict[int, int]):
     def run(batches):
         known = Templates(counts)
-        for batch in batches:
+        for batch in bt.bounded(batches):
             n = batch.num_rows
             low, starts, ends, rows = bt.words(*bt.utf8(batch.column("text")), bt.ALNUM_WORDS)
             hashes = bt.word_hashes(low, starts, ends)

@@ -129,7 +129,7 @@ def plausible(a, b, na, nb, link: int = LINK) -> np.ndarray:
 
 
 def _sketch(batches):
-    for batch in batches:
+    for batch in bt.bounded(batches):
         keys, bounds = bt.shingle_sets(batch.column("text"))
         sizes = np.diff(bounds)
         regs = registers(keys, bounds)

@@ -59,7 +59,7 @@ _JOINER[[ord(c) for c in JOINERS]] = True
 
 def _count(batches):
     total = np.zeros(letters.TRIGRAMS, np.int64)
-    for batch in batches:
+    for batch in bt.bounded(batches):
         _, tri = letters.trigrams(batch.column("text"))
         total += np.bincount(tri, minlength=letters.TRIGRAMS)
     used = np.flatnonzero(total)
@@ -231,7 +231,7 @@ def _tally(model):
                 [pa.array(names.view(np.int64)), pa.array(bad), pa.array(np.bincount(index, minlength=len(names)) - bad)], ["feature", "bad", "fine"]
             )
 
-        for batch in batches:
+        for batch in bt.bounded(batches):
             owner, hashes = _distinct(*features(batch.column("text"), restorer))
             held.append((hashes, batch.column("toxic").to_numpy(zero_copy_only=False)[owner]))
             size += len(hashes)
@@ -247,7 +247,7 @@ def _tally(model):
 def _select(model, chosen: np.ndarray):
     def run(batches):
         restorer = Restorer(model)
-        for batch in batches:
+        for batch in bt.bounded(batches):
             n = batch.num_rows
             owner, at = _hits(*features(batch.column("text"), restorer), chosen)
             ends = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
@@ -341,7 +341,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, fit_rows: int = F
 def _scorer(model, chosen, weights, bias):
     def run(batches):
         restorer = Restorer(model)
-        for batch in batches:
+        for batch in bt.bounded(batches):
             owner, at = _hits(*features(batch.column("text"), restorer), chosen)
             total = bias + np.bincount(owner, weights=weights[at], minlength=batch.num_rows) if len(at) else np.full(batch.num_rows, bias)
             score = 1 / (1 + np.exp(-np.clip(total, -40, 40)))
