@@ -69,6 +69,7 @@ def bounded(batches, column: str = "text", limit: int = BATCH_BYTES):
             last = max(int(np.searchsorted(ends, ends[first] + limit, side="right")) - 1, first + 1)
             yield batch.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
 
 def words(body: np.ndarray, offsets: np.ndarray, inside: np.ndarray = PLAIN_WORDS):

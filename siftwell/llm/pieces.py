@@ -31,7 +31,7 @@ from siftwell.llm.support import arrow_batches
 
 VOCABULARY = os.environ.get("SIFTWELL_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 #: Characters between searches for a common boundary; stretches remembered in each of two generations, and their longest.
-COMMIT_EVERY, REMEMBERED, LONGEST_REMEMBERED = 64, 300_000, 48
+COMMIT_EVERY, REMEMBERED, LONGEST_REMEMBERED = 64, 200_000, 48
 BYTE_COST = -20.0
 _STRETCH = re.compile(r" *[^ \n]+|\n| +")
 
@@ -213,6 +213,8 @@ def _encoder(listed):
                 [batch.column("doc_id"), lists, pa.array(chars, pa.int64()), pa.array(marks, pa.string()), pa.array(again, pa.string()), pa.array(whole, pa.bool_())],
                 ["doc_id", "ids", "n_chars", "ids_sha256", "decoded_sha256", "round_trip"],
             )
+            del ids, lists, batch
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     return run
 
