@@ -82,3 +82,52 @@ def write_hierarchy(edges: DataFrame, path: str) -> None:
 def read_hierarchy(spark: SparkSession, path: str) -> DataFrame:
     """Edges written by ``write_hierarchy``; the levels are those found."""
     return spark.read.parquet(path).select("level", "cluster_id", "child_id", "rank")
+
+
+def edges_of(assigned: list[DataFrame]) -> DataFrame:
+    """Edges from one assignment (point_id, cluster_id, dist) a level, the lowest level first."""
+    edges = None
+    for depth, rows in enumerate(assigned, start=1):
+        own = sort_members(rows).select(F.lit(depth).alias("level"), F.col("cluster_id").cast("long").alias("cluster_id"), F.col("point_id").cast("long").alias("child_id"), "rank")
+        edges = own if edges is None else edges.unionByName(own)
+    return edges
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def stored_hierarchy(
+    points: DataFrame, levels: list[Level], folder: str, iterations: int = 50, init: str = "kmeans++", num_init: int = 1,
+    resamples: int = 10, strategy: str = "closest", seed: int = 0,
+) -> DataFrame:
+    """Edges of a hierarchy whose every step is kept in ``folder``; a step that is there is not run again.
+
+    ``centroids/level=L/step=S`` holds (cluster_id, centroid), ``edges/level=L`` the members after the last
+    step. Step 0 clusters all points of the level, later steps the members that the clusters pass on.
+    """
+    if strategy not in ("closest", "random"):
+        raise ValueError(f"unknown strategy {strategy!r}: choose closest or random")
+    spark = points.sparkSession
+    centres = None
+    for depth, level in enumerate(levels, start=1):
+        x = points.select("point_id", "embedding") if depth == 1 else vectors_table(spark, centres)
+        assigned = None
+        for step in range(1 + (resamples if level.sample_size > 1 else 0)):
+            place = f"{folder}/centroids/level={depth}/step={step}"
+            if not _exists(spark, f"{place}/_SUCCESS"):
+                pool = x
+                if step:
+                    pick = closest_members(assigned, level.sample_size) if strategy == "closest" else random_members(assigned, level.sample_size, seed + step - 1)
+                    pool = pick.select("point_id", "embedding")
+                found, _, _ = kmeans(pool, level.clusters, iterations, init, num_init, seed=seed + depth + 31 * step)
+                rows = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(found)], "cluster_id long, centroid array<double>")
+                rows.coalesce(1).write.mode("overwrite").parquet(place)
+            rows = spark.read.parquet(place).orderBy("cluster_id").collect()
+            centres = np.array([r["centroid"] for r in rows])
+            assigned = assign_nearest(x, centres)
+        place = f"{folder}/edges/level={depth}"
+        if not _exists(spark, f"{place}/_SUCCESS"):
+            edges_of([assigned]).drop("level").write.mode("overwrite").parquet(place)
+    return spark.read.parquet(f"{folder}/edges").select("level", "cluster_id", "child_id", "rank")

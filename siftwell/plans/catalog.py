@@ -614,12 +614,12 @@ def vector_distances(spark, d):
 
 @query(
     "power_distances",
-    """SELECT event_id, round(pow(value / 100 - 0.5, 4), 6) AS distance, round(4 * pow(value / 100 - 0.5, 3), 6) + 0.0 AS slope, round(12 * pow(value / 100 - 0.5, 2), 9) AS curve FROM events""",
+    """SELECT event_id, round(pow(value / 100 - 0.5, 4), 6) AS distance, round(4 * pow(value / 100 - 0.5, 3), 12) + 0.0 AS slope, round(12 * pow(value / 100 - 0.5, 2), 9) AS curve FROM events""",
 )
 def power_distances(spark, d):
     x, c = F.col("value") / 100, F.lit(0.5)
     return table(spark, d, "events").select(
-        "event_id", F.round(vectors.power_distance(x, c, 2), 6).alias("distance"), (F.round(vectors.power_slope(x, c, 2), 6) + F.lit(0.0)).alias("slope"), F.round(vectors.power_curve(x, c, 2), 9).alias("curve")
+        "event_id", F.round(vectors.power_distance(x, c, 2), 6).alias("distance"), (F.round(vectors.power_slope(x, c, 2), 12) + F.lit(0.0)).alias("slope"), F.round(vectors.power_curve(x, c, 2), 9).alias("curve")
     )
 
 
