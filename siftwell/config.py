@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# fixed values: default option values
-PATCH_DEFAULTS = {"patch_size": 256, "patch_stride": 256, "magnification_factors": (1.0, 0.5, 0.25)}
-
-
 @dataclass(frozen=True)
 class PatchOptions:
     """How images are tiled, described and thinned to a coreset."""
 
+    # fixed values: names and defaults of the options
     patch_size: int = 256
     patch_stride: int = 256
     magnification_factors: tuple[float, ...] = (1.0, 0.5, 0.25)
@@ -43,9 +40,9 @@ class PatchOptions:
     def __post_init__(self) -> None:
         factors = tuple(dict.fromkeys(float(f) for f in self.magnification_factors))
         if not factors:
-            raise ValueError("magnification_factors must not be empty")
+            raise ValueError("at least one magnification factor is needed")
         if min(factors) <= 0:
-            raise ValueError("magnification_factors must contain only positive values")
+            raise ValueError("every magnification factor must be above 0")
         object.__setattr__(self, "magnification_factors", factors)
 
 
