@@ -115,6 +115,7 @@ def describe_images(images: DataFrame, options: PatchOptions = PatchOptions()) -
 
     # a few images at a time: an image may be large
     images.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    images.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     return prepare(images).mapInArrow(run, TILE)
 
 
