@@ -11,8 +11,8 @@ __all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "WORD", "arrow_batches", "order_key",
 
 #: Most rows of a table that may be broadcast; beyond it Spark picks the join itself.
 BROADCAST_ROWS = 100_000
-#: Rows of an Arrow batch handed to Python: bounds a worker's memory on very long texts.
-BATCH_ROWS = 256
+#: Rows and bytes of an Arrow batch handed to Python: they bound a worker's memory on very long texts.
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
 #: White space that parts words, as a Java and Python character class.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -30,5 +30,5 @@ def order_key(seed: int, *cols: str) -> Column:
 
 def arrow_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for very long texts."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) != BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
