@@ -214,7 +214,8 @@ def _encoder(listed):
                 ["doc_id", "ids", "n_chars", "ids_sha256", "decoded_sha256", "round_trip"],
             )
             del ids, lists, batch
-        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
+        pieces.old = {}  # the worker stays for later tasks
+        pa.default_memory_pool().release_unused()
 
     return run
 
