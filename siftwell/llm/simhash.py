@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.ranges import range_of
-from siftwell.llm.support import settle, small
+from siftwell.llm.support import settle
 
 RADIUS = 3
 #: Words a run of byte lanes can count without carrying or reaching the sign bit.
@@ -89,8 +89,8 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def _ranges(docs: DataFrame) -> list[int]:
-    """Lower bounds of contiguous doc_id ranges, about as many as shuffle partitions; each holds rows."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Lower bounds of contiguous doc_id ranges, a few for each shuffle partition; each holds rows."""
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull())
     bounds = ids.repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("doc_id").alias("low"))
     return sorted(r["low"] for r in bounds.collect())
@@ -105,7 +105,7 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints and their likeness to the edited and next texts.
 
     Documents are ordered within doc_id ranges; a range's last row takes the first row of the next range.
-    The range heads are few: one row a range, as many as shuffle partitions.
+    The range heads are few: one row a range, a few for each shuffle partition.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     bounds = _ranges(rows)
@@ -116,7 +116,8 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
     heads = settle(heads.select(F.col("range").alias("head_range"), F.coalesce(F.lead("h").over(ring), first)["text"].alias("head")))
     order = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
     rows = rows.withColumn("following", F.lead("text").over(order))
-    joined = rows.join(small(heads), F.col("range") == F.col("head_range"), "left")
+    # the rows already lie by range: only the heads, which carry texts, move for this join
+    joined = rows.join(heads, F.col("range") == F.col("head_range"), "left")
     both = joined.select("doc_id", "text", F.coalesce("following", "head").alias("following"))
     changed = both.select(
         "doc_id",
