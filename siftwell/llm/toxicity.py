@@ -280,14 +280,14 @@ def held_out():
 def _logistic(rows: list, features_: int) -> tuple[np.ndarray, float]:
     """Weights and bias by Newton steps with a quadratic penalty, over rows of present features.
 
-    Toxic rows count again with half and with a quarter of their features: no word may lean on another.
+    Toxic rows count again with half of their features: no word may lean on another.
     Rows of the same features are one weighted row.
     """
     rng = np.random.default_rng(SEED)
     weight: dict = {}
     for r in sorted(rows, key=lambda r: (r["toxic"], list(r["found"]))):  # rows arrive in any order
         found, y = np.asarray(r["found"], np.int64), r["toxic"]
-        kept = [found] if y < 0.5 else [found, found[rng.random(len(found)) < 0.5], found[rng.random(len(found)) < 0.25]]
+        kept = [found] if y < 0.5 else [found, found[rng.random(len(found)) < 0.5]]
         for k, part in enumerate(kept):
             if k == 0 or len(part):
                 key = (y, part.tobytes())
