@@ -31,7 +31,7 @@ from siftwell.llm.support import arrow_batches, order_key
 FIT_ROWS = 40_000
 FEATURES = 512
 #: Least log-likelihood gain of a feature: what chance alone seldom gives among millions of features.
-LEAST_GAIN = 12.0
+LEAST_GAIN = 8.0
 THRESHOLD = 0.7
 HELD_OUT = (3, 1)
 SEED = 1789
