@@ -1,5 +1,6 @@
 """Queries over whole tables, where an older registered query and its SQL take a part."""
 
+import numpy as np
 from conftest import DATA
 
 from siftwell.plans import catalog
@@ -10,3 +11,10 @@ def test_backfill_takes_all_events(spark, duck):
     bins = duck.sql("SELECT event_type, (count(*) * 4) // 5 AS quota FROM events GROUP BY event_type").fetchall()
     assert len(got) == sum(quota for _, quota in bins)
     assert {i % 50 for i in got} == set(range(50))
+
+
+def test_divergence_takes_all_events(spark, duck):
+    x = np.array([v for (v,) in duck.sql("SELECT value / 100 FROM events").fetchall()])
+    mass = np.exp(-(((np.arange(50)[:, None] + 0.5) / 50 - x) / 0.1) ** 2 / 2).sum(axis=1)
+    p = mass / mass.sum()
+    assert abs(catalog.QUERIES["kde_divergence_whole"](spark, DATA).first()["divergence"] - (p * np.log(p * 50)).sum()) < 1e-5
