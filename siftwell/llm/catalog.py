@@ -24,7 +24,7 @@ def op3_sentencepiece(spark, sf_dir):
 
 def op4_licenses(spark, sf_dir):
     """License phrases and notices of all documents."""
-    return licenses.scan(read_table(spark, sf_dir, "documents"))
+    return licenses.scan(read_table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op5_sharding(spark, sf_dir):

@@ -2,7 +2,8 @@
 
 Base: every place where a phrase's words stand one after another. Templates: a text block meets one if it
 holds at least ``CONTAINMENT`` of the template's distinct words. Blocks are a text's lines, and lines of
-more than ``WINDOW`` words are cut into windows that overlap by half.
+more than ``WINDOW`` words are cut into windows that overlap by half. With ``wrapped``, the windows of the
+text's whole word sequence are blocks too, so a notice that goes on in the next line is met.
 
 The join is exact. A first pass counts the template words over all documents; templates list their words
 from the rarest on. A block can only meet a template of s words, of which it must hold c, if it holds one of
@@ -145,7 +146,7 @@ def _meet(known: Templates, code: np.ndarray, line: np.ndarray, nth: np.ndarray,
     return labels, best
 
 
-def _scanner(counts: dict[int, int]):
+def _scanner(counts: dict[int, int], wrapped: bool):
     def run(batches):
         known = Templates(counts)
         for batch in bt.bounded(batches):
@@ -170,7 +171,11 @@ def _scanner(counts: dict[int, int]):
                     places[r] += 1
                     first[r] = nth if first[r] < 0 else min(first[r], nth)
                     last[r] = max(last[r], nth)
-            labels, best = _meet(known, known.codes(hashes), *_blocks(low, starts, rows), rows, n)
+            code = known.codes(hashes)
+            labels, best = _meet(known, code, *_blocks(low, starts, rows), rows, n)
+            if wrapped:
+                more, over = _meet(known, code, rows, np.arange(len(rows)) - heads[rows], rows, n)
+                labels, best = [a | b for a, b in zip(labels, more, strict=True)], np.maximum(best, over)
             score = np.where(places > 0, 1.0, best)
             none = places == 0
             yield pa.RecordBatch.from_arrays(
@@ -190,11 +195,11 @@ def _scanner(counts: dict[int, int]):
     return run
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Words, phrase places, labels and score of every row of ``docs``."""
+def scan(docs: DataFrame, wrapped: bool = False) -> DataFrame:
+    """Words, phrase places, labels and score of every row of ``docs``; ``wrapped`` looks across line feeds too."""
     arrow_batches(docs.sparkSession)
     counts = word_frequencies(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _scanner(counts),
+        _scanner(counts, wrapped),
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double",
     )
