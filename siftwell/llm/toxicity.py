@@ -1,9 +1,9 @@
 """Toxicity scores of restored text by a noisy-channel decoder.
 
 Restoring: a token that mixes letters with look-alike digits or signs, stretches a letter, or spaces its
-letters out becomes a lattice: each character may stand for its look-alikes or for nothing, a stretched
-letter for one or two. Viterbi picks the path that is likeliest under a letter trigram model and the
-channel's costs. The letter model counts all texts of the table; labels have no part in it.
+letters out becomes a lattice: each character may stand for its look-alikes or for nothing, a letter that
+is repeated for one or two. Viterbi picks the path that is likeliest under a letter trigram model and the
+channel's costs; tokens of any length are decoded in full. The letter model counts all texts of the table; labels have no part in it.
 
 Scoring: a text's features are its words and the words' first four and five bytes, together with those of
 its restored tokens. Features are weighed by logistic regression over the ``FEATURES`` that tell the labels
@@ -18,6 +18,7 @@ training rows every score is 0; repeated rows stay rows; other columns are not r
 from __future__ import annotations
 
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ HELD_OUT = (3, 1)
 SEED = 1789
 #: Rows of a feature table that a task holds before it passes them on.
 OPEN_FEATURES = 2_000_000
-LONGEST_TOKEN = 48
+#: Longer tokens are decoded anew each time, and letters that all paths share are set aside from this many on.
+LONGEST_KEPT = 64
 # fixed values: what a sign may stand for
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -85,7 +87,11 @@ def letter_model(docs: DataFrame) -> np.ndarray:
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each character or run of a token, the strings it may stand for and their costs."""
-    out, k = [], 0
+    return list(_ways(token))
+
+
+def _ways(token: str):
+    k = 0
     while k < len(token):
         end = k + 1
         while end < len(token) and token[end] == token[k]:
@@ -95,31 +101,39 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             ways = [(s, SIGN_COST) for s in LOOKALIKES[c]] + [("", DROP_COST)]
             ways += [(s + s, SIGN_COST + DOUBLE_COST) for s in LOOKALIKES[c]] if run > 1 else []
         elif c.isalpha():
-            ways = [(c * run, 0.0)] if run <= 2 else [(c, 0.0), (c + c, DOUBLE_COST)]
+            ways = [(c, 0.0)] if run == 1 else [(c, DOUBLE_COST), (c + c, 0.0)] if run == 2 else [(c, 0.0), (c + c, DOUBLE_COST)]
         else:
             ways = [("", 0.0)] if c in JOINERS else [("", DROP_COST), (c, KEEP_COST)]
-        out.append(ways)
+        yield ways
         k = end
-    return out
 
 
 def restore(token: str, model: np.ndarray) -> str:
     """The likeliest plain word behind a token."""
     k = letters.CLASSES
     states = {(0, 0): (0.0, "")}
-    for ways in lattice(token):
+    done = []
+    for ways in _ways(token):
         after: dict = {}
         for (a, b), (score, text) in states.items():
             for added, cost in ways:
                 s, x, y = score + cost, a, b
                 for c in added:
-                    z = letters.letter_class(c)
+                    z = _class_of(c)
                     s += float(model[(x * k + y) * k + z])
                     x, y = y, z
                 if (x, y) not in after or after[x, y][0] < s:
                     after[x, y] = (s, text + added)
         states = after
-    return max(((s + float(model[(a * k + b) * k]), t) for (a, b), (s, t) in states.items()))[1]
+        if len(next(iter(states.values()))[1]) > LONGEST_KEPT:
+            shared = commonprefix([t for _, t in states.values()])
+            done.append(shared)
+            states = {at: (s, t[len(shared) :]) for at, (s, t) in states.items()}
+    done.append(max(((s + float(model[(a * k + b) * k]), t) for (a, b), (s, t) in states.items()))[1])
+    return "".join(done)
+
+
+_class_of = lru_cache(maxsize=4096)(letters.letter_class)
 
 
 def _suspects(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> list[tuple[int, str]]:
@@ -130,12 +144,12 @@ def _suspects(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.nd
     inside = lambda total: total[ends] - total[starts]
     n_letters, n_signs, n_joiners = (inside(count(f[low])) for f in (_LETTER, _SIGN, _JOINER))
     same = np.zeros(len(low), bool)
-    same[2:] = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & _LETTER[low[2:]] & (low[2:] < 128)
+    same[1:] = (low[1:] == low[:-1]) & _LETTER[low[1:]] & (low[1:] < 128)
     stretched = inside(count(same)) > 0
     mixed = (n_signs > 0) & (n_letters > 0)
     dotted = (n_joiners >= 2) & (n_letters >= 3)
     out = []
-    for w in np.flatnonzero((mixed | stretched | dotted) & (ends - starts <= LONGEST_TOKEN)):
+    for w in np.flatnonzero(mixed | stretched | dotted):
         out.append((int(rows[w]), low[starts[w] : ends[w]].tobytes().decode("utf-8", "replace")))
     # letters spaced out: runs of words of one letter or sign, one blank apart
     single = (ends - starts == 1) & (n_letters + n_signs == 1)
@@ -144,11 +158,8 @@ def _suspects(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.nd
     heads = np.flatnonzero(single & ~follows)
     tails = np.flatnonzero(single & ~np.append(follows[1:], False)) + 1
     for a, b in zip(heads, tails, strict=True):
-        # long runs in overlapping pieces
-        for at in range(a, max(b - 2, a), LONGEST_TOKEN // 2):
-            part = low[starts[at : min(at + LONGEST_TOKEN, b)]].tobytes().decode("utf-8", "replace")
-            if len(part) >= 3:
-                out.append((int(rows[a]), part))
+        if b - a >= 3:
+            out.append((int(rows[a]), low[starts[a:b]].tobytes().decode("utf-8", "replace")))
     return out
 
 
@@ -163,16 +174,16 @@ def _plain(token: str) -> str | None:
     token = token.rstrip("!?|+").strip(_EDGES)
     if len(token) < 3 or not any(c.isalpha() for c in token):
         return None
-    hidden = any(c in LOOKALIKES or c in JOINERS for c in token) or any(token[k] == token[k - 1] == token[k - 2] for k in range(2, len(token)))
     known = all(c.isalpha() or c in LOOKALIKES or c in JOINERS for c in token)
-    return token if known and (hidden or len(token) <= LONGEST_TOKEN) else None
+    # short plain parts are spaced-out letters
+    return token if known else None
 
 
 class Restorer:
     """Restores tokens with a bounded memory of those seen."""
 
     def __init__(self, model: np.ndarray) -> None:
-        self.model = model
+        self.model = model.tolist()
         self.seen = lru_cache(maxsize=200_000)(self._one)
 
     def _one(self, token: str) -> str | None:
@@ -180,7 +191,7 @@ class Restorer:
         return None if plain is None else restore(plain, self.model)
 
     def restored(self, low, starts, ends, rows) -> tuple[np.ndarray, list[str]]:
-        found = [(r, w) for r, t in _suspects(low, starts, ends, rows) if (w := self.seen(t))]
+        found = [(r, w) for r, t in _suspects(low, starts, ends, rows) if (w := self.seen(t) if len(t) <= LONGEST_KEPT else self._one(t))]
         return np.array([r for r, _ in found], np.int64), [w for _, w in found]
 
 

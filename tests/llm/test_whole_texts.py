@@ -3,9 +3,10 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from siftwell.llm import catalog, licenses
+from siftwell.llm import catalog, letters, licenses, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -44,3 +45,45 @@ def test_wrapped_texts_equal_brute_force(spark):
         texts.append((k, " ".join(words)))
     rows = licenses.scan(_docs(spark, texts), wrapped=True).withColumn("own", F.array_except(F.split("labels", ","), F.split("base_labels", ","))).collect()
     assert {r["doc_id"]: set(r["own"]) - {""} for r in rows} == {i: _met(t) for i, t in texts}
+
+
+FINE = ["good", "house", "river", "stone", "loss", "ideal", "food", "total", "you", "such", "a"]
+
+
+def _toxic_scores(spark, hidden):
+    """Predictions of clean texts that hold each of ``hidden``, learned from plain words."""
+    rng = random.Random(8)
+    fine = lambda: " ".join(rng.choices(FINE[:7], k=12) + ["such a house", "you total"])
+    rows = [(i, fine() + (" loser idiot " if i % 4 == 0 else " ") + fine()) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    rows += [(1000 + k, f"{fine()} {h} {fine()}") for k, h in enumerate(hidden)]
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(_docs(spark, rows), labels).collect()}
+    return [got[1000 + k] for k in range(len(hidden))]
+
+
+def test_long_and_doubled_words_are_found(spark):
+    hidden = ["i" * 90 + "diot " + "l" * 90 + "oser", "iiddiioott lloosseerr", "l0s3r1d10t" * 8 + " l" + "o" * 300 + "ser", "good house"]
+    assert _toxic_scores(spark, hidden) == [1, 1, 1, 0]
+
+
+def test_long_tokens_are_restored_exactly():
+    model = np.log(np.random.default_rng(3).dirichlet(np.ones(letters.CLASSES), letters.CLASSES**2)).astype(np.float32).reshape(-1)
+
+    def whole(token):
+        k, states = letters.CLASSES, {(0, 0): (0.0, "")}
+        for ways in toxicity.lattice(token):
+            after = {}
+            for (a, b), (score, text) in states.items():
+                for added, cost in ways:
+                    s, x, y = score + cost, a, b
+                    for c in added:
+                        s, x, y = s + float(model[(x * k + y) * k + letters.letter_class(c)]), y, letters.letter_class(c)
+                    if (x, y) not in after or after[x, y][0] < s:
+                        after[x, y] = (s, text + added)
+            states = after
+        return max((s + float(model[(a * k + b) * k]), t) for (a, b), (s, t) in states.items())[1]
+
+    rng = random.Random(4)
+    for n in (5, 70, 900):
+        token = "".join(rng.choices("abcdeello10-.$!", k=n))
+        assert toxicity.restore(token, model) == whole(token)
