@@ -2,7 +2,8 @@
 
 Restoring: a token that mixes letters with look-alike digits or signs, stretches a letter, or spaces its
 letters out becomes a lattice: each character may stand for its look-alikes or for nothing, a letter that
-is repeated for one or two. Viterbi picks the path that is likeliest under a letter trigram model and the
+is repeated for one or two, and a joiner or gap between letters for nothing or the end of a word. Other
+signs part a token before it is decoded. Viterbi picks the path that is likeliest under a letter trigram model and the
 channel's costs; tokens of any length are decoded in full. The letter model counts all texts of the table; labels have no part in it.
 
 Scoring: a text's features are its words and the words' first four and five bytes, together with those of
@@ -45,8 +46,10 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t",
 }
-SIGN_COST, DROP_COST, KEEP_COST, DOUBLE_COST = -1.0, -6.0, -12.0, -1.0
+SIGN_COST, DROP_COST, KEEP_COST, DOUBLE_COST, BREAK_COST = -1.0, -6.0, -12.0, -1.0, -1.0
 JOINERS = "-._*~"
+#: What stands between letters that are spaced out.
+GAP = " "
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
@@ -103,7 +106,7 @@ def _ways(token: str):
         elif c.isalpha():
             ways = [(c, 0.0)] if run == 1 else [(c, DOUBLE_COST), (c + c, 0.0)] if run == 2 else [(c, 0.0), (c + c, DOUBLE_COST)]
         else:
-            ways = [("", 0.0)] if c in JOINERS else [("", DROP_COST), (c, KEEP_COST)]
+            ways = [("", 0.0), (" ", BREAK_COST)] if c in JOINERS or c == GAP else [("", DROP_COST), (c, KEEP_COST)]
         yield ways
         k = end
 
@@ -159,24 +162,27 @@ def _suspects(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.nd
     tails = np.flatnonzero(single & ~np.append(follows[1:], False)) + 1
     for a, b in zip(heads, tails, strict=True):
         if b - a >= 3:
-            out.append((int(rows[a]), low[starts[a:b]].tobytes().decode("utf-8", "replace")))
+            out.append((int(rows[a]), GAP.join(low[starts[a:b]].tobytes().decode())))
     return out
 
 
 _EDGES = ".,;:?()[]{}\"'`<>=/\\#%&*^_-~"
 
 
+def _parts(token: str) -> list[str]:
+    """What stands between the signs of a token that are neither letters, look-alikes nor joiners."""
+    known = "".join(c if c.isalpha() or c in LOOKALIKES or c in JOINERS or c == GAP else "\n" for c in token)
+    return [part for part in known.split("\n") if part]
+
+
 def _plain(token: str) -> str | None:
-    """A token without the punctuation around it, or None if nothing is hidden in it."""
-    token = token.strip(_EDGES)
+    """A part of a token without the punctuation around it, or None if nothing is hidden in it."""
+    edges = _EDGES + GAP
+    token = token.strip(edges)
     while len(token) > 1 and token[-1] in "!$|+@" and token[-2] == token[-1]:
-        token = token.rstrip(token[-1]).rstrip(_EDGES)
-    token = token.rstrip("!?|+").strip(_EDGES)
-    if len(token) < 3 or not any(c.isalpha() for c in token):
-        return None
-    known = all(c.isalpha() or c in LOOKALIKES or c in JOINERS for c in token)
-    # short plain parts are spaced-out letters
-    return token if known else None
+        token = token.rstrip(token[-1]).rstrip(edges)
+    token = token.rstrip("!?|+").strip(edges)
+    return token if len(token) >= 3 and any(c.isalpha() for c in token) else None
 
 
 class Restorer:
@@ -187,8 +193,8 @@ class Restorer:
         self.seen = lru_cache(maxsize=200_000)(self._one)
 
     def _one(self, token: str) -> str | None:
-        plain = _plain(token)
-        return None if plain is None else restore(plain, self.model)
+        plain = [p for p in map(_plain, _parts(token)) if p is not None]
+        return " ".join(restore(p, self.model) for p in plain) or None
 
     def restored(self, low, starts, ends, rows) -> tuple[np.ndarray, list[str]]:
         found = [(r, w) for r, t in _suspects(low, starts, ends, rows) if (w := self.seen(t) if len(t) <= LONGEST_KEPT else self._one(t))]

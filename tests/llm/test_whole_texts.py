@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from siftwell.llm import catalog, letters, licenses, toxicity
@@ -87,3 +88,19 @@ def test_long_tokens_are_restored_exactly():
     for n in (5, 70, 900):
         token = "".join(rng.choices("abcdeello10-.$!", k=n))
         assert toxicity.restore(token, model) == whole(token)
+
+
+def test_words_within_restored_tokens_are_found(spark):
+    hidden = ["such a l o s e r  y o u i d i o t", "total-1d10t total_l0s3r", "1d10t,l0s3r", "1d10t's l0s3r's", "y o u g o o d h o u s e"]
+    assert _toxic_scores(spark, hidden) == [1, 1, 1, 1, 0]
+
+
+def test_gaps_and_joiners_may_end_words():
+    counts = np.full(letters.TRIGRAMS, 0.1)
+    _, tri = letters.trigrams(pa.array(["such a loser you idiot total idiot you loser a total"]))
+    np.add.at(counts, tri, 50)
+    counts = counts.reshape(-1, letters.CLASSES)
+    model = np.log(counts / counts.sum(axis=1, keepdims=True)).reshape(-1)
+    restorer = toxicity.Restorer(model)
+    want = {"a l o s e r": "a loser", "y o u i d i o t": "you idiot", "total-1d10t": "total idiot", "1d10t,l0s3r": "idiot loser", "1d10t's": "idiot", "l.o.s.e.r": "loser"}
+    assert {t: restorer.seen(t) for t in want} == want
