@@ -154,8 +154,8 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", "text"), *model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-#: A text whose best cosine lies below this resembles no learned language.
-LEAST_COSINE = 0.02
+#: A text whose best cosine lies below this resembles no learned language: three deviations of unrelated bundles.
+LEAST_COSINE = 3 / DIM**0.5
 
 
 def keep_known(docs: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from conftest import DATA
 from pyspark.sql import functions as F
 
-from siftwell.llm import catalog, letters, licenses, toxicity
+from siftwell.llm import catalog, langid, letters, licenses, toxicity
+from siftwell.session import read_table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -104,3 +106,14 @@ def test_gaps_and_joiners_may_end_words():
     restorer = toxicity.Restorer(model)
     want = {"a l o s e r": "a loser", "y o u i d i o t": "you idiot", "total-1d10t": "total idiot", "1d10t,l0s3r": "idiot loser", "1d10t's": "idiot", "l.o.s.e.r": "loser"}
     assert {t: restorer.seen(t) for t in want} == want
+
+
+def test_unlearned_scripts_go_and_learned_texts_stay(spark):
+    docs = read_table(spark, DATA.replace("sf0.001", "sf0.01"), "documents").where("text rlike '[A-Za-z]' AND lang IS NOT NULL")
+    rng = random.Random(2)
+    scripts = ["αβγδεζηθικλμνξοπ", "абвгдежзиклмнопр", "אבגדהוזחטיכלמנס", "あいうえおかきくけこさしすせそ"]
+    foreign = [(-1 - k, "".join(rng.choices(scripts[k % 4] + "  ", k=300))) for k in range(200)]
+    kept = langid.keep_known(docs.unionByName(_docs(spark, foreign).select(docs.columns)))
+    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert sum(i < 0 for i in ids) <= 2
+    assert sum(i >= 0 for i in ids) == docs.count()
