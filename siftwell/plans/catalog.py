@@ -771,7 +771,7 @@ def power_kmeans(spark, d):
 def ring_sample(spark, d):
     """Rings clustered in two levels and sampled evenly."""
     levels = [hierarchy.Level(30), hierarchy.Level(5)]
-    edges, _ = hierarchy.hierarchical_kmeans(rings(spark, [2000, 20, 100, 50, 800]), levels, 5, "kmeans||", seed=3)
+    edges, _ = hierarchy.hierarchical_kmeans(rings(spark, [20000, 200, 1000, 500, 8000]), levels, 5, "kmeans||", seed=3)
     from siftwell.tables import settle
 
     return sampling.hierarchical_sample(settle(edges), 2, 200, 1, "r", 5)

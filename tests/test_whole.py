@@ -1,6 +1,7 @@
 """Queries over whole tables, where an older registered query and its SQL take a part."""
 
 import numpy as np
+import pytest
 from conftest import DATA
 
 from siftwell.plans import catalog
@@ -18,3 +19,16 @@ def test_divergence_takes_all_events(spark, duck):
     mass = np.exp(-(((np.arange(50)[:, None] + 0.5) / 50 - x) / 0.1) ** 2 / 2).sum(axis=1)
     p = mass / mass.sum()
     assert abs(catalog.QUERIES["kde_divergence_whole"](spark, DATA).first()["divergence"] - (p * np.log(p * 50)).sum()) < 1e-5
+
+
+def test_ring_sample_has_all_points(monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def rings(spark, sizes):
+        raise Asked(sizes)
+
+    monkeypatch.setattr(catalog, "rings", rings)
+    with pytest.raises(Asked) as asked:
+        catalog.QUERIES["ring_sample"](None, DATA)
+    assert asked.value.args[0] == [20000, 200, 1000, 500, 8000]
