@@ -1,7 +1,10 @@
 """The text pipeline: language, toxicity, near-duplicates, mixture, then pieces.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last return the
-columns of documents.
+columns of documents. Extra columns pass through, whatever they are called. Null and empty texts and texts
+without letters go in the first stage (they have no language); rows that repeat a doc_id are one document to
+the third stage; null doc_ids are never near duplicates; null sources are a source of their own in the
+fourth; an empty table passes through as one.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siftwell.llm import langid, minhash, mixing, pieces, toxicity
 from siftwell.session import read_table
+from siftwell.tables import settled
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +28,8 @@ def clean_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def first_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return minhash.deduplicate(docs)
+    """One document of each group of near-duplicates: links join sets of a similarity of 0.8 or more."""
+    return minhash.deduplicate(docs, link=80)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        # a later stage scans its input more than once: no stage runs again for that
+        docs = settled(lambda docs=docs, stage=stage: stage(spark, docs, sf_dir))
     return docs

@@ -12,6 +12,7 @@ from siftwell.operators.coreset import select_coreset
 from siftwell.operators.neighbors import neighbor_features
 from siftwell.operators.scores import local_scores
 from siftwell.schemas import CANDIDATE, METADATA, TILE
+from siftwell.session import bound_batches
 from siftwell.sources.arrow_shards import with_bytes
 
 
@@ -114,8 +115,7 @@ def describe_images(images: DataFrame, options: PatchOptions = PatchOptions()) -
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     # a few images at a time: an image may be large
-    images.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    images.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    bound_batches(images.sparkSession, 64, 64 << 20)
     return prepare(images).mapInArrow(run, TILE)
 
 

@@ -24,3 +24,12 @@ def local_session(cores: int | str = "*", name: str = "siftwell", **conf: object
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` of a data folder, opened by Spark so that any store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bound_batches(spark: SparkSession, rows: int, size: int) -> None:
+    """Let Arrow batches hold at most so many rows and bytes; a lower bound that is already set stays."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name, None)
+        if not now or not now.isdigit() or int(now) == 0 or int(now) > most:
+            spark.conf.set(name, str(most))
