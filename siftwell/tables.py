@@ -41,10 +41,15 @@ def settle(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
     if _running:
         _running[-1].append(path)
     if instead_of is not None:
-        _remove(instead_of.settled_path)
+        drop(instead_of)
     return out
 
 
+def drop(table: DataFrame) -> None:
+    """Remove a settled table that nothing will read again."""
+    _remove(table.settled_path)
+
+
 def settled(make: Callable[[], DataFrame]) -> DataFrame:
     """The settled result of ``make``; the tables that it settled on its way are dropped."""
     _running.append([])
