@@ -1,6 +1,7 @@
 """Vectorised work on batches of texts: words, word hashes and shingle sets from UTF-8 bytes.
 
-All functions take an Arrow string column of at most 256 rows; nulls are empty texts.
+All functions take an Arrow string column; nulls are empty texts. ``bounded`` cuts batches to at most
+``MOST_ROWS`` rows, and ``shingle_sets`` refuses more, since a row's number shares 64 bits with a hash.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ SHINGLE = 5
 BATCH_BYTES = 4 << 20
 #: Bits of a shingle hash that stay beside eight bits for the row of a batch.
 HASH_BITS = 56
+MOST_ROWS = 1 << (64 - HASH_BITS)
 _SPAN = 4096
 
 
@@ -61,12 +63,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bounded(batches, column: str = "text", limit: int = BATCH_BYTES):
-    """Arrow batches cut so that their texts hold at most ``limit`` bytes, or one text alone."""
+    """Arrow batches of at most ``MOST_ROWS`` rows whose texts hold at most ``limit`` bytes, or one text alone."""
     for batch in batches:
         _, ends = utf8(batch.column(column))
         first = 0
         while first < batch.num_rows:
             last = max(int(np.searchsorted(ends, ends[first] + limit, side="right")) - 1, first + 1)
+            last = min(last, first + MOST_ROWS)
             yield batch.slice(first, last - first)
             first = last
     pa.default_memory_pool().release_unused()  # the worker stays for later tasks
@@ -115,6 +118,8 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.
     """
     body, offsets = utf8(column)
     n = len(offsets) - 1
+    if n > MOST_ROWS:
+        raise ValueError(f"{n} rows at once; at most {MOST_ROWS}")
     low, starts, ends, rows = words(body, offsets)
     hashes = word_hashes(low, starts, ends)
     counts = np.bincount(rows, minlength=n) if len(rows) else np.zeros(n, np.int64)

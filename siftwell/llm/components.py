@@ -1,8 +1,10 @@
 """Connected components of a distributed edge table.
 
 Alternating star contraction (large-star, small-star): each round every node's larger neighbours, then
-its smaller ones, are linked to its least neighbour, until only stars remain. The least neighbour is a
-partial aggregate, so a hub is never gathered in one task, and no edge reaches the driver.
+its smaller ones, are linked to its least neighbour, until only stars remain. That end is tested exactly: no
+node has two roots and no root has one. The least neighbour is a partial aggregate, and the edges of the few
+nodes of the highest degrees get theirs by broadcast, so a hub is never gathered in a task; no edge reaches
+the driver.
 """
 
 from __future__ import annotations
@@ -10,12 +12,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.support import settle
+from siftwell.llm.support import drop, settle
 
+#: Nodes with more than a HUBS-th of all edge ends, and more than LEAST_HUB, are hubs: fewer than HUBS by counting.
+HUBS, LEAST_HUB = 5000, 64
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1_000_003))), F.lit(0))).first()
-    return tuple(row)
+
+def _to_least(edges: DataFrame, least: DataFrame, ends: int) -> DataFrame:
+    """(u, v) of each edge's ``v`` and the least neighbour of its ``u``; ``least`` has node, m and degree."""
+    hub = F.col("degree") > max(LEAST_HUB, ends // HUBS)
+    # the degrees sum up to `ends`, so fewer than HUBS rows are broadcast
+    hubs = F.broadcast(least.where(hub).select(F.col("node").alias("hub"), F.col("m").alias("hub_m")))
+    told = edges.join(hubs, F.col("u") == F.col("hub"), "left")
+    rest = told.where(F.col("hub").isNull()).select("u", "v").join(least.where(~hub), F.col("u") == F.col("node"))
+    moved = rest.select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(told.where(F.col("hub").isNotNull()).select(F.col("v").alias("u"), F.col("hub_m").alias("v")))
+
+
+def _least(edges: DataFrame, m) -> DataFrame:
+    return edges.groupBy(F.col("u").alias("node")).agg(F.min(m).alias("m"), F.count(F.lit(1)).alias("degree"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every edge (u, v) leads from a leaf to the root of a star."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where(F.col("up") + F.col("down") > 1).where(F.col("up") > 0).limit(1).count() == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,19 +50,91 @@ def components(edges: DataFrame) -> DataFrame:
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), F.col("u").alias("a"), F.col("v").alias("b"))
     now = now.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     now = settle(now.select("u", "v").distinct())
-    seen = _digest(now)
-    while seen[0]:
+    while not _stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy(F.col("u").alias("c")).agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        down = large.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
-        small = large.join(down, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(down.select(F.col("c").alias("u"), F.col("m").alias("v")))
-        now = settle(small.where(F.col("u") != F.col("v")).distinct())
-        after = _digest(now)
-        if after == seen:
-            break
-        seen = after
+        ends = 2 * now.count()
+        large = settle(_to_least(both.where(F.col("v") > F.col("u")), _least(both, F.least("u", "v")), ends).distinct())
+        down = _least(large, F.col("v"))
+        small = _to_least(large, down, ends).unionByName(down.select(F.col("node").alias("u"), F.col("m").alias("v")))
+        now = settle(small.where(F.col("u") != F.col("v")).distinct(), instead_of=now)
+        drop(large)
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def connect(members: DataFrame, payload: DataFrame, test) -> DataFrame:
+    """Edges (u, v) that connect whatever ``test`` links within a group, without comparing all of a large group.
+
+    ``members`` has grp, rep and w, the part of a task's block that a member fills; ``payload`` has rep and what
+    the test reads. ``test`` maps Arrow batches of (grp, crossed, members: rep, part, side, payload) to edges; it
+    compares members of different parts, and where ``crossed`` of different sides only.
+
+    1. Every group is compared within blocks. Groups of one block are done.
+    2. In larger ones each part that is connected by now sends one delegate; delegates are compared within blocks
+       while that halves their number, which joins the parts of a crowd of copies at the cost of a few rows.
+    3. What can still be linked are members of different parts. Parts are cut into blocks, small parts share
+       blocks, and pairs of blocks meet unless both belong to one part. No link between parts is lost.
+    """
+    sizes = members.groupBy(F.col("grp").alias("sized")).agg(F.sum("w").alias("weight"), F.count(F.lit(1)).alias("members"))
+    sizes = sizes.where(F.col("members") > 1).select("sized", F.ceil("weight").alias("blocks"))
+    counted = members.join(sizes, F.col("grp") == F.col("sized")).select("grp", "rep", "w", "blocks")
+    own = lambda rows, seed: rows.select(
+        "grp", "rep", F.col("rep").alias("part"), F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("blocks")).cast("string").alias("lo"), F.lit(True).alias("side"), F.lit(False).alias("crossed")
+    )
+    edges = settle(_meet(own(counted, 5), payload, test, "hi"))
+    crowded = settle(counted.where(F.col("blocks") > 1).select("grp", "rep", "w"))
+    before, last = None, False
+    while not crowded.isEmpty():
+        found = components(edges)
+        named = crowded.join(found, F.col("rep") == F.col("node"), "left").select("grp", "rep", "w", F.coalesce("root", "rep").alias("part"))
+        named = settle(named)
+        delegates = named.groupBy("grp", "part").agg(F.min(F.struct("rep", "w")).alias("d")).select("grp", "d.rep", "d.w")
+        open_ = delegates.groupBy(F.col("grp").alias("sized")).agg(F.ceil(F.sum("w")).alias("blocks"), F.count(F.lit(1)).alias("parts"))
+        open_ = settle(open_.where(F.col("parts") > 1))
+        parts, widest = open_.agg(F.sum("parts"), F.max("blocks")).first()
+        if not parts:
+            return edges
+        if last or before is not None and 2 * parts > before:
+            return edges.unionByName(_between_parts(named, open_, payload, test))
+        before, last = parts, widest == 1
+        rows = delegates.join(open_, F.col("grp") == F.col("sized"))
+        edges = edges.unionByName(settle(_meet(own(rows, before), payload, test, "hi")))
+    return edges
+
+
+def _meet(placed: DataFrame, payload: DataFrame, test, hi: str) -> DataFrame:
+    """The edges that ``test`` finds among ``placed``, the members (rep, part, side) of each (grp, lo, hi)."""
+    told = payload.withColumnRenamed("rep", "told")
+    columns = [c for c in payload.columns if c != "rep"]
+    if hi not in placed.columns:
+        placed = placed.withColumn(hi, F.col("lo"))
+    full = placed.join(told, F.col("rep") == F.col("told"))
+    groups = full.groupBy("grp", "lo", hi, "crossed").agg(F.collect_list(F.struct("rep", "part", "side", *columns)).alias("members"))
+    return groups.select("grp", "crossed", "members").mapInArrow(test, "u long, v long")
+
+
+def _between_parts(named: DataFrame, open_: DataFrame, payload: DataFrame, test) -> DataFrame:
+    """Edges between members (grp, rep, w, part) of different parts in the groups of ``open_``."""
+    rows = named.join(open_.select("sized"), F.col("grp") == F.col("sized"), "left_semi")
+    sizes = rows.groupBy("grp", "part").agg(F.sum("w").alias("weight"))
+    large = F.col("weight") > 0.5
+    shared = sizes.where(~large).groupBy(F.col("grp").alias("sg")).agg(F.ceil(F.sum("weight")).alias("packs"))
+    plan = sizes.join(shared, F.col("grp") == F.col("sg"), "left").select(
+        F.col("grp").alias("pg"), F.col("part").alias("pp"), large.alias("large"), F.when(large, F.ceil("weight")).otherwise(F.col("packs")).alias("cuts")
+    )
+    plan = settle(plan)
+    # a large part has blocks of its own, small parts share numbered ones
+    label = lambda cut: F.concat_ws(":", F.when(F.col("large"), F.col("pp")), cut.cast("long"))
+    blocks = plan.select("pg", F.when(F.col("large"), F.col("pp")).alias("owner"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+    blocks = blocks.distinct().select("pg", "owner", F.concat_ws(":", "owner", "cut").alias("lo"))
+    other = blocks.select(F.col("pg").alias("og"), F.col("owner").alias("oo"), F.col("lo").alias("hi"))
+    apart = ~F.coalesce(F.col("owner") == F.col("oo"), F.lit(False))
+    pairs = blocks.join(other, F.col("pg") == F.col("og")).where((F.col("lo") <= F.col("hi")) & apart).select(F.col("pg").alias("bg"), "lo", "hi")
+    ends = F.array(F.col("lo"), F.col("hi"))
+    held = pairs.select("bg", "lo", "hi", F.explode(F.array_distinct(ends)).alias("block"))
+    cut = F.when(F.col("large"), F.pmod(F.xxhash64("rep"), F.col("cuts"))).otherwise(F.pmod(F.xxhash64("part"), F.col("cuts")))
+    placed = rows.join(plan, (F.col("grp") == F.col("pg")) & (F.col("part") == F.col("pp"))).select("grp", "rep", "part", label(cut).alias("own"))
+    placed = placed.join(held, (F.col("grp") == F.col("bg")) & (F.col("own") == F.col("block"))).select(
+        "grp", "rep", "part", "lo", "hi", (F.col("own") == F.col("lo")).alias("side"), (F.col("lo") != F.col("hi")).alias("crossed")
+    )
+    return settle(_meet(placed, payload, test, "hi"))

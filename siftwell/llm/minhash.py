@@ -6,12 +6,12 @@
    union are the maxima of registers, so sketches merge; equal registers are locality-sensitive.
 2. Documents of equal sets form one class, and one representative goes on.
 3. ``BANDS`` bands of ``ROWS`` registers give bucket keys. Buckets with one member drop out; a large bucket
-   is cut into blocks and its pairs of blocks are compared apart, so no task holds more than two blocks.
-   Each pair is weighed once, in its first common band, by the joint likelihood of its registers given both
+   is cut into blocks, and only blocks that are not connected yet meet (see ``components.connect``), so no task
+   holds more than two blocks. A pair is weighed only in its first common band, by the joint likelihood of its registers given both
    set sizes; pairs whose likelihood already falls ``DOUBT`` below the wanted similarity are implausible. A task emits a spanning
    forest of its plausible pairs, never the pairs.
-4. Components of the plausible forest are compared exactly: their full shingle sets meet in blocks, the
-   intersections are counted, and a spanning forest of the links with
+4. Components of the plausible forest are compared exactly in the same way: full shingle sets meet in blocks,
+   parts that are linked already do not meet again, intersections are counted, and a spanning forest of the links with
    ``100 * intersection >= link * union`` is emitted. Components of those are the result.
 
 A pair at similarity 0.85 (0.80) shares no band with probability 2e-10 (1e-7), and is weighed implausible
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.llm import bytetext as bt
-from siftwell.llm.components import components
+from siftwell.llm.components import components, connect
 from siftwell.llm.support import arrow_batches, settle
 
 BANDS, ROWS = 30, 4
@@ -187,11 +187,9 @@ def _weigher(link: int):
     def run(batches):
         for batch in batches:
             sizes, members = _list_parts(batch.column("members"))
-            cross = batch.column("lo").to_numpy() != batch.column("hi").to_numpy()
-            keys = batch.column("key").to_numpy()
-            rep = members.field("rep").to_numpy(zero_copy_only=False)
+            keys, crossed = batch.column("grp").to_numpy(), batch.column("crossed").to_numpy(zero_copy_only=False)
+            rep, part, side = (members.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "part", "side"))
             n = members.field("n").to_numpy(zero_copy_only=False).astype(np.float64)
-            block = members.field("block").to_numpy(zero_copy_only=False)
             regs = _matrix(members.field("regs"), REGISTERS)
             bands = band_keys(regs)
             left, right = [], []
@@ -206,7 +204,7 @@ def _weigher(link: int):
                 i, j, g = i + base, j + base, g + first
                 for at in range(0, len(i), _PAIRS):
                     a, b, own = i[at : at + _PAIRS], j[at : at + _PAIRS], g[at : at + _PAIRS]
-                    use = ~cross[own] | (block[a] != block[b])
+                    use = (part[a] != part[b]) & (~crossed[own] | (side[a] != side[b]))
                     a, b, own = a[use], b[use], own[use]
                     shared = bands[a] == bands[b]
                     use = bands[a, shared.argmax(1)] == keys[own]
@@ -231,35 +229,23 @@ def _edges(rep: np.ndarray, left: list, right: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[label[moved]])], ["u", "v"])
 
 
-def _blocks(rows: DataFrame, count, member: str) -> DataFrame:
-    """``rows`` with ``block``, and one row for each pair of blocks (lo, hi) that holds it."""
-    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.col(member), F.lit(5)), count).cast("int"))
-    pair = lambda k: F.struct(F.least("block", k).alias("lo"), F.greatest("block", k).alias("hi"))
-    return rows.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), (count - 1).cast("int")), pair))).select(
-        "*", "pair.lo", "pair.hi"
-    )
-
-
 def _comparer(link: int):
     def run(batches):
         for batch in batches:
+            crossed = batch.column("crossed").to_pylist()
             for k in range(batch.num_rows):
-                one = batch.column("members").slice(k, 1)
-                members = one.flatten()
-                ids = members.field("rep").to_numpy(zero_copy_only=False)
-                texts = members.field("text")
-                block = members.field("block").to_numpy(zero_copy_only=False)
-                crossed = batch.column("lo")[k].as_py() != batch.column("hi")[k].as_py()
-                yield _linked(ids, texts, block if crossed else None, link)
+                members = batch.column("members").slice(k, 1).flatten()
+                ids, part, side = (members.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "part", "side"))
+                yield _linked(ids, members.field("text"), part, side if crossed[k] else None, link)
 
     return run
 
 
-def _linked(ids: np.ndarray, texts: pa.Array, block: np.ndarray | None, link: int) -> pa.RecordBatch:
-    """Links among whole texts, as a spanning forest."""
+def _linked(ids: np.ndarray, texts: pa.Array, part: np.ndarray, side: np.ndarray | None, link: int) -> pa.RecordBatch:
+    """Links among whole texts of different parts (and sides, if given), as a spanning forest."""
     owner, hashes = [], []
-    for at in range(0, len(ids), 256):
-        keys, _ = bt.shingle_sets(texts.slice(at, 256))
+    for at in range(0, len(ids), bt.MOST_ROWS):
+        keys, _ = bt.shingle_sets(texts.slice(at, bt.MOST_ROWS))
         owner.append((keys >> bt.U64(bt.HASH_BITS)).astype(np.int64) + at)
         hashes.append(keys & bt.HASH_MASK)
     owner, hashes = np.concatenate(owner), np.concatenate(hashes)
@@ -282,8 +268,9 @@ def _linked(ids: np.ndarray, texts: pa.Array, block: np.ndarray | None, link: in
             common += dense @ dense.T
     both = common.astype(np.int64)
     linked = np.triu((100 * both >= link * (sizes[:, None] + sizes[None, :] - both)) & (both > 0), 1)
-    if block is not None:
-        linked &= block[:, None] != block[None, :]
+    linked &= part[:, None] != part[None, :]
+    if side is not None:
+        linked &= side[:, None] != side[None, :]
     i, j = np.nonzero(linked)
     return _edges(ids, [i], [j])
 
@@ -297,24 +284,14 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.min("regs").alias("regs"))
     )
     keys = classes.select("rep", "regs").mapInArrow(_keys, "rep long, key long")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
-    shared = shared.withColumnRenamed("key", "shared_key")
-    rows = keys.join(shared, F.col("key") == F.col("shared_key")).select("rep", "key", "members")
-    rows = _blocks(rows, F.ceil(F.col("members") / BLOCK), "rep")
-    details = classes.select(F.col("rep").alias("own_rep"), "n", "regs")
-    rows = rows.join(details, F.col("rep") == F.col("own_rep"))
-    buckets = rows.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("rep", "n", "block", "regs")).alias("members"))
-    groups = settle(components(buckets.mapInArrow(_weigher(link), "u long, v long")))
-
-    sized = groups.join(classes.select(F.col("rep"), "n"), F.col("node") == F.col("rep")).select("rep", "root", "n")
-    totals = sized.groupBy(F.col("root").alias("r")).agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("members"))
-    many = F.greatest(F.ceil(F.col("shingles") / SET_BLOCK), F.ceil(F.col("members") / MEMBER_BLOCK))
-    sized = sized.join(totals, F.col("root") == F.col("r")).select("rep", "root", many.alias("blocks"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    full = sized.join(texts, F.col("rep") == F.col("doc_id")).select("rep", "root", "blocks", "text")
-    full = _blocks(full, F.col("blocks"), "rep")
-    meet = full.groupBy("root", "lo", "hi").agg(F.collect_list(F.struct("rep", "block", "text")).alias("members"))
-    links = components(meet.mapInArrow(_comparer(link), "u long, v long"))
+    keys = keys.select(F.col("key").alias("grp"), "rep", F.lit(1.0 / BLOCK).alias("w"))
+    groups = settle(components(connect(keys, classes.select("rep", "n", "regs"), _weigher(link))))
+
+    fills = F.greatest(F.col("n") / SET_BLOCK, F.lit(1.0 / MEMBER_BLOCK))
+    sized = groups.join(classes.select("rep", "n"), F.col("node") == F.col("rep")).select(F.col("root").alias("grp"), "rep", fills.alias("w"))
+    # rows that share a doc_id are one document; equal sets have one representative
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    links = components(connect(sized, texts, _comparer(link)))
 
     named = classes.select(F.col("n").alias("cn"), F.col("p1").alias("c1"), F.col("p2").alias("c2"), "rep")
     named = named.join(links, F.col("rep") == F.col("node"), "left").select("cn", "c1", "c2", F.coalesce("root", "rep").alias("found"))
@@ -331,15 +308,19 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
 def deduplicate(docs: DataFrame, link: int = STAGE_LINK) -> DataFrame:
     """The rows of ``docs`` that are the first of their group; rows that repeat a doc_id keep one.
 
-    Rows with a null doc_id link with nothing and stay.
+    Groups link sets with ``100 * intersection >= link * union``. Rows with a null doc_id link with nothing and
+    stay. Columns pass through, whatever their names and types.
     """
+    names = docs.columns
     kept = near_duplicates(docs, link).where(F.col("kept")).select(F.col("doc_id").alias("kept_id")).distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
-    if repeated.limit(1).count():
-        known = known.withColumn("nth_of_id", F.row_number().over(once)).where(F.col("nth_of_id") == 1).drop("nth_of_id")
-    return known.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)]).alias("row"))
+    known = rows.where(F.col("own_id").isNotNull()).join(kept, F.col("own_id") == F.col("kept_id"), "left_semi")
+    repeated = rows.where(F.col("own_id").isNotNull()).groupBy("own_id").count().where(F.col("count") > 1)
+    if not repeated.isEmpty():
+        once = Window.partitionBy("own_id").orderBy(F.md5(F.to_json("row")))
+        known = known.withColumn("nth", F.row_number().over(once)).where(F.col("nth") == 1).drop("nth")
+    out = known.unionByName(rows.where(F.col("own_id").isNull()))
+    return out.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(names)])
 
 
 SQL = r"""

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.tables import settle
+from siftwell.session import bound_batches
+from siftwell.tables import drop, settle
 
-__all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "WORD", "arrow_batches", "order_key", "settle", "small"]
+__all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "WORD", "arrow_batches", "drop", "order_key", "settle", "small"]
 
 #: Most rows of a table that may be broadcast; beyond it Spark picks the join itself.
 BROADCAST_ROWS = 100_000
@@ -30,5 +31,4 @@ def order_key(seed: int, *cols: str) -> Column:
 
 def arrow_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for very long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    bound_batches(spark, BATCH_ROWS, BATCH_BYTES)
