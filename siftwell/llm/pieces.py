@@ -1,18 +1,24 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
 Pieces come from a ready vocabulary file. A piece's probability follows its rank (Zipf's law over the order
-in which the file lists its pieces); bytes stand in for characters that no piece covers. The best path is
-kept for a window bounded by the longest piece: whenever the back pointers of all live positions meet in
-one boundary, the ids before it are final and are passed on, so memory does not grow with the text.
-
-Two characters that stand side by side in no piece always part, so all paths meet between them (before
-every space, around line feeds and most punctuation); the stretches between such places are searched once
-and remembered in a bounded memory. The file's own library would merge
-pairs instead; both give pieces of the same vocabulary that decode to the same text, and decoding
-here is exact for every text: spaces stand for themselves and a literal U+2581 becomes bytes.
-
-Edge cases: null and empty texts have no ids and decode to the empty text; identical rows stay rows; an
-empty table gives no rows; other columns are not read by ``digests``.
+in which the file lists its pieces); bytes stand in for characters that no piece covers. One search walks a
+text from left to right along a tree of the pieces and keeps back pointers for a window only: as soon as the
+paths of all live positions (at most the longest piece ahead) meet in one boundary, the ids before it are final
+and passed on, and the window begins there.
+
+Two characters that stand side by side in no piece always part, so there all paths meet (before every space,
+around line feeds and most punctuation). The search takes those boundaries without looking back, one stretch
+at a time; what it found for short stretches is remembered in a bounded memory. What grows with a text is the
+text itself and its ids, not the search. Where paths never meet (one letter over and over may be parted at odd
+or at even places) the window grows, as exactness asks.
+
+The file's own library would merge pairs instead; both give pieces of the same vocabulary that decode to the
+same text, and decoding here is exact for every text: spaces stand for themselves and a literal U+2581 becomes
+bytes.
+
+Edge cases: null and empty texts have no ids and decode to the empty text; identical rows stay rows; very long
+texts and stretches are searched in windows; an empty table gives no rows; other columns are not read by
+``digests``.
 """
 
 from __future__ import annotations
@@ -30,9 +36,11 @@ from pyspark.sql import functions as F
 from siftwell.llm.support import arrow_batches
 
 VOCABULARY = os.environ.get("SIFTWELL_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
-#: Characters between searches for a common boundary; stretches remembered in each of two generations, and their longest.
+#: Characters between looks for a common boundary; stretches remembered in each of two generations, and their
+#: longest (longer ones are searched each time, in the same way).
 COMMIT_EVERY, REMEMBERED, LONGEST_REMEMBERED = 64, 200_000, 48
 BYTE_COST = -20.0
+NEVER = -1e300
 _STRETCH = re.compile(r" *[^ \n]+|\n| +")
 
 
@@ -66,72 +74,71 @@ class Pieces:
             node[0][t[-1]] = ({}, i, score)
         self.young: dict[str, array] = {}
         self.old: dict[str, array] = {}
+        #: The widest window so far.
+        self.widest = 0
 
-    def best(self, text: str) -> array:
-        """Ids of the best path over a short text."""
-        n, root = len(text), self.root
-        score, come, piece = [0.0] + [-1e300] * n, [0] * (n + 1), [0] * (n + 1)
+    def search(self, text: str):
+        """Yield the ids of the best path over ``text``, a run at a time as they become final."""
+        n, longest, root, known = len(text), self.longest, self.root, self.ids
+        room = min(n, COMMIT_EVERY + longest)
+        # for positions from `base` on; everything before is final
+        base, score, come, piece = 0, [0.0] + [NEVER] * room, [0] * (room + 1), [0] * (room + 1)
+        look = COMMIT_EVERY
         for start in range(n):
-            s, node, end = score[start], root, start
-            for c in text[start:]:
+            at = start - base
+            if at == look:
+                live = [k for k in range(at, min(at + longest, n - base) + 1) if score[k] > NEVER]
+                meet = _meeting(come, live)
+                if meet:
+                    yield self._path(text, base, come, piece, meet)
+                    base += meet
+                    score, piece = score[meet:] + [NEVER] * meet, piece[meet:] + [0] * meet
+                    come = [c - meet for c in come[meet:]] + [0] * meet
+                    at, look = start - base, COMMIT_EVERY
+                    while look <= at:
+                        look += COMMIT_EVERY
+                else:
+                    look *= 2  # looking back costs as much as the window is wide
+                grow = look + longest + 1 - len(score)
+                if grow > 0:
+                    score, come, piece = score + [NEVER] * grow, come + [0] * grow, piece + [0] * grow
+                self.widest = max(self.widest, len(score))
+            s, node, end = score[at], root, at
+            for c in text[start : start + longest]:
                 node = node[0].get(c)
                 if node is None:
                     break
                 end += 1
                 if node[1] >= 0 and s + node[2] > score[end]:
-                    score[end], come[end], piece[end] = s + node[2], start, node[1]
-            if text[start] not in self.ids:
-                raw = text[start].encode("utf-8", "surrogatepass")
-                if s + BYTE_COST * len(raw) > score[start + 1]:
-                    score[start + 1], come[start + 1], piece[start + 1] = s + BYTE_COST * len(raw), start, -1
-        out, at = [], n
+                    score[end], come[end], piece[end] = s + node[2], at, node[1]
+            if text[start] not in known:
+                raw = s + BYTE_COST * len(text[start].encode("utf-8", "surrogatepass"))
+                if raw > score[at + 1]:
+                    score[at + 1], come[at + 1], piece[at + 1] = raw, at, -1
+        if n > base:
+            yield self._path(text, base, come, piece, n - base)
+
+    def _path(self, text: str, base: int, come: list, piece: list, at: int) -> array:
+        """Ids along the back pointers from ``at`` to the window's beginning."""
+        out = []
         while at:
             if piece[at] < 0:
-                out += [self.bytes[x] for x in reversed(text[come[at] : at].encode("utf-8", "surrogatepass"))]
+                raw = text[base + come[at] : base + at].encode("utf-8", "surrogatepass")
+                out += [self.bytes[x] for x in reversed(raw)]
             else:
                 out.append(piece[at])
             at = come[at]
         out.reverse()
         return array("i", out)
 
-    def search(self, text: str):
-        """Yield the ids of the best path over ``text``, a stretch at a time as they become final."""
-        ids, longest, n = self.ids, self.longest, len(text)
-        base = 0  # everything before is final
-        best, back = [0.0], [(0, ())]  # for positions from base on
-        for end in range(1, n + 1):
-            top, how = -1e300, None
-            for start in range(max(base, end - longest), end):
-                hit = ids.get(text[start:end])
-                if hit is not None and (s := best[start - base] + hit[1]) > top:
-                    top, how = s, (start, (hit[0],))
-            if text[end - 1] not in ids:
-                raw = text[end - 1].encode("utf-8", "surrogatepass")
-                if (s := best[end - 1 - base] + BYTE_COST * len(raw)) > top:
-                    top, how = s, (end - 1, tuple(self.bytes[b] for b in raw))
-            best.append(top)
-            back.append(how)
-            if end % COMMIT_EVERY == 0 or end == n:
-                meet = end if end == n else self._meeting(back, base, max(base, end - longest + 1), end)
-                if meet > base:
-                    out, at = [], meet
-                    while at > base:
-                        at, got = back[at - base]
-                        out.append(got)
-                    for got in reversed(out):
-                        yield from got
-                    best, back = best[meet - base :], back[meet - base :]
-                    base = meet
-
-    @staticmethod
-    def _meeting(back: list, base: int, first: int, end: int) -> int:
-        """The last boundary that the paths of all positions from ``first`` to ``end`` go through."""
-        live = set(range(first, end + 1))
-        while len(live) > 1:
-            last = max(live)
-            live.discard(last)
-            live.add(back[last - base][0])
-        return live.pop()
+    def _found(self, stretch: str) -> array:
+        """All ids of a stretch."""
+        if len(stretch) <= COMMIT_EVERY:
+            return next(self.search(stretch))
+        out = array("i")
+        for run in self.search(stretch):
+            out.extend(run)
+        return out
 
     def _keep(self, stretch: str, got: array) -> array:
         """Remember a stretch; what has not been asked for since two fillings is forgotten."""
@@ -149,9 +156,8 @@ class Pieces:
         word = stretch.isalpha() or stretch[1:].isalpha()
         cuts = [] if word else [k for k in range(1, len(stretch)) if stretch[k - 1 : k + 1] not in self.joined]
         if not cuts:
-            if len(stretch) > LONGEST_REMEMBERED:
-                return array("i", self.search(stretch))
-            return self._keep(stretch, self.best(stretch))
+            found = self._found(stretch)
+            return self._keep(stretch, found) if len(stretch) <= LONGEST_REMEMBERED else found
         out = array("i")
         for a, b in zip([0, *cuts], [*cuts, len(stretch)], strict=True):
             part = stretch[a:b]
@@ -164,7 +170,10 @@ class Pieces:
         if not text:
             return out
         text = " " + text
-        for stretch in _STRETCH.findall(text) if self.parts else [text]:
+        if not self.parts:
+            return self._found(text)
+        for m in _STRETCH.finditer(text):
+            stretch = m[0]
             out.extend(self.young.get(stretch) or self._stretch(stretch))
         return out
 
@@ -173,6 +182,16 @@ class Pieces:
         return b"".join(map(self.table.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
 
 
+def _meeting(come: list, live: list) -> int:
+    """The last boundary that the paths of all ``live`` positions, in order, go through."""
+    paths = set(live)
+    while len(paths) > 1:
+        last = max(paths)
+        paths.discard(last)
+        paths.add(come[last])
+    return paths.pop()
+
+
 def load(path: str = VOCABULARY) -> list[tuple[str, float]]:
     """(piece, score) of a vocabulary file, in order."""
     import sentencepiece
@@ -184,9 +203,8 @@ def load(path: str = VOCABULARY) -> list[tuple[str, float]]:
 _open: dict = {}
 
 
-def _shared(listed) -> Pieces:
-    """One vocabulary a Python worker, so that its memory serves all tasks."""
-    key = (len(listed), listed[-1])
+def _shared(listed, key: str) -> Pieces:
+    """One vocabulary a Python worker, so that its memory serves all tasks; ``key`` tells vocabularies apart."""
     if key not in _open:
         _open.clear()
         _open[key] = Pieces(listed)
@@ -194,8 +212,10 @@ def _shared(listed) -> Pieces:
 
 
 def _encoder(listed):
+    key = hashlib.sha256(repr(listed).encode("utf-8", "surrogatepass")).hexdigest()
+
     def run(batches):
-        pieces = _shared(listed)
+        pieces = _shared(listed, key)
         for batch in batches:
             ids, ends, chars, whole, marks, again = array("i"), [0], [], [], [], []
             for text in batch.column("text").to_pylist():

@@ -199,7 +199,7 @@ def test_streamed_search_is_optimal_and_exact(vocabulary):
         text = "".join(rng.choices(letters_, k=n))
         ids = vocabulary.encode(text)
         assert vocabulary.decode(ids) == text
-        whole = list(vocabulary.search(" " + text)) if text else []
+        whole = [i for run in vocabulary.search(" " + text) for i in run] if text else []
         assert abs(sum(cost[i] for i in whole) - sum(cost[i] for i in ids)) < 1e-6
         assert not text or abs(sum(cost[i] for i in ids) - _best(vocabulary, " " + text)) < 1e-6
 
@@ -212,8 +212,48 @@ def test_pieces_table(spark):
 
 
 def test_window_stays_small(vocabulary):
-    seen = list(vocabulary.search("ab" * 20_000))
-    assert vocabulary.decode([*seen]) == ("ab" * 20_000)[1:]
+    vocabulary.widest = 0
+    for text in ("ab" * 20_000, "internationalisation" * 2_000, "é😀" * 5_000):
+        runs = list(vocabulary.search(" " + text))
+        assert vocabulary.decode([i for run in runs for i in run]) == text
+        assert len(runs) > len(text) // (4 * pieces.COMMIT_EVERY)
+    assert vocabulary.widest <= 2 * (pieces.COMMIT_EVERY + vocabulary.longest)
+    # paths at odd and at even places never meet: the window has to grow, and the time stays in proportion
+    runs = list(vocabulary.search("x" * 300_000))
+    assert vocabulary.decode([i for run in runs for i in run]) == "x" * 299_999
+
+
+def test_vocabularies_are_told_apart():
+    one = [("<unk>", 0.0), ("a", -1.0), ("b", -2.0), ("\u2581", -3.0), ("c", -9.0)] + [(f"<0x{k:02X}>", -9.0) for k in range(256)]
+    other = [one[0], one[2], one[1], *one[3:]]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["ab"])], ["doc_id", "text"])
+    ids = [next(pieces._encoder(v)([batch])).column("ids").to_pylist()[0] for v in (one, other, one)]
+    assert ids == [[3, 1, 2], [3, 2, 1], [3, 1, 2]]
+
+
+def test_ids_equal_full_search(vocabulary):
+    """Ids, not just costs: an unwindowed search of tests/ breaks ties in the same way."""
+    def full(text):
+        best = [(0.0, 0, 0)] + [(-1e300, 0, 0)] * len(text)
+        for start in range(len(text)):
+            for end in range(start + 1, min(len(text), start + vocabulary.longest) + 1):
+                hit = vocabulary.ids.get(text[start:end])
+                if hit and best[start][0] + hit[1] > best[end][0]:
+                    best[end] = (best[start][0] + hit[1], start, hit[0])
+            raw = text[start].encode()
+            if text[start] not in vocabulary.ids and best[start][0] + pieces.BYTE_COST * len(raw) > best[start + 1][0]:
+                best[start + 1] = (best[start][0] + pieces.BYTE_COST * len(raw), start, -1)
+        ids, at = [], len(text)
+        while at:
+            _, start, piece = best[at]
+            ids = ([piece] if piece >= 0 else [vocabulary.bytes[b] for b in text[start:at].encode()]) + ids
+            at = start
+        return ids
+
+    rng = random.Random(11)
+    for n in (1, 40, 65, 300, 900):
+        text = "".join(rng.choices("abcdeth on\n.,réß你😀", k=n)) + "".join(rng.choices("aeinst", k=n))
+        assert list(vocabulary.encode(text)) == full(" " + text)
 
 
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
