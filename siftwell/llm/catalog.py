@@ -24,7 +24,7 @@ def op3_sentencepiece(spark, sf_dir):
 
 def op4_licenses(spark, sf_dir):
     """License phrases and notices of all documents."""
-    return licenses.scan(read_table(spark, sf_dir, "documents"), wrapped=True)
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
 def op5_sharding(spark, sf_dir):
@@ -75,6 +75,7 @@ QUERIES = {
 ORACLES = {
     "op1_minhash": minhash.SQL,
     "op2_chat": chat.SQL,
+    "op4_licenses": licenses.SQL,
     "op7_vectors": capfilters.SQL,
     "op10_mixing": mixing.SQL,
 }
