@@ -159,20 +159,35 @@ def test_vector_blocks_count_every_link_once(spark, monkeypatch):
     assert capfilters.near_vectors(_vectors(spark, [])).count() == 0
 
 
-def test_list_decoding_is_complete():
+@pytest.mark.parametrize("least", [3, 16, 80])
+def test_list_decoding_is_complete(least):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(30, 10))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    rotation, parts, threshold = capfilters.code(10, 5)
+    rotation, parts = capfilters.code(10, 5)
     pieces_ = np.array_split(np.arange(10), 4)
     y = x @ rotation
     for i in range(30):
         scores = sum(np.meshgrid(*[p @ y[i, c] for c, p in zip(pieces_, parts, strict=True)], indexing="ij")).reshape(-1)
-        want = set(np.flatnonzero(scores >= min(threshold, np.sort(scores)[-capfilters.LEAST_LIST]) - 1e-12))
-        rows, ids = capfilters.decode(x[i : i + 1], 5)
+        want = set(np.flatnonzero(scores >= min(capfilters.threshold(10, 5, least), np.sort(scores)[-least]) - 1e-12))
+        rows, ids = capfilters.decode(x[i : i + 1], 5, least)
         assert set(ids.tolist()) == want and set(rows.tolist()) == {0}
 
 
+@pytest.mark.parametrize(("dim", "k"), [(2, 8), (16, 4), (16, 18), (16, 40), (16, 64), (64, 18), (64, 40), (64, 64), (128, 4), (128, 40)])
+def test_recall_follows_the_code(dim, k):
+    """Fresh pairs at the link's cosine share a filter, whatever the dimension and the size of the code."""
+    assert capfilters.shared_share(dim, k, capfilters.list_size(dim, k), capfilters.COSINE, 1000, 2) >= 0.99
+
+
+def test_signs_keep_linked_pairs():
+    for dim in (2, 16, 128):
+        a, b = capfilters.pairs_at(capfilters.COSINE, dim, 4000, 3)
+        differ = ((a @ capfilters.planes(dim) > 0) != (b @ capfilters.planes(dim) > 0)).sum(axis=1)
+        assert differ.max() <= capfilters.MOST_BITS
+    assert [capfilters.code_size(n) for n in (0, 1, 10**6, 10**9, 10**12)] == [4, 4, 14, 76, 423]
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.Pieces(pieces.load())
