@@ -1,18 +1,20 @@
 """Chat formatting over reply trees. DataFrame operations only.
 
-Messages form trees through (tree, node, parent). Iterative self-joins double the reach of each node's
-ancestor pointer, so a tree of depth d takes log2(d) joins: they give every node its root and the summed
-score of its path. Leaves are ranked within their tree by mean path score, the best ``branches`` stay, and
-a second doubling pass enumerates only the chosen paths. Each path becomes one conversation.
+Messages form trees through (tree, node, parent). Runs of messages that each answer the one before, in order of
+their nodes, are one stretch with prefix sums of scores and depths. Iterative self-joins then double the
+reach of each stretch's ancestor pointer, so a tree whose paths change stretches d times takes log2(d) joins, and
+a chain none: they give every stretch its root and the summed score above it. Leaves are ranked within their tree
+by mean path score, the best ``branches`` stay, and a second doubling pass enumerates only the chosen paths. Each
+path becomes one conversation.
 
 Template: ``<|turn|>role<|text|>text<|end|>`` and a line feed for every turn. Control strings inside roles
 and texts (the template's own and the common ``<s>``, ``</s>``, ``[INST]``, ``[/INST]``) get a backslash
 after their first character, and strings that already look so get one more, so reading back is exact. The
-loss mask lists (start, length) of the escaped assistant texts in code points.
+loss mask lists the escaped assistant texts as (start, len) in code points and (byte, bytes) in UTF-8.
 
-Edge cases: null texts and roles are empty; an unknown parent makes a node a root; a null tree id is a
-tree of its own; turns that tie are ordered by role and text; identical rows stay separate turns; an empty
-table gives no conversation; a cycle of replies is an error; other columns are not read.
+Edge cases: null texts and roles are empty; an unknown parent makes a node a root; all messages of a null tree id
+are one tree; turns that tie are ordered by role and text; identical rows stay separate turns; texts of any length
+are kept whole; an empty table gives no conversation; a cycle of replies is an error; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,101 +39,126 @@ def unescape(c: Column) -> Column:
     return F.regexp_replace(c, r"([<\[])\\(\\*)" + CONTROL, "$1$2$3")
 
 
-def linear_trees(messages: DataFrame) -> DataFrame:
-    """Messages (conv_id, turn, role, text) as trees of one branch: every turn answers the one before it."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    return messages.select(
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("tree"),
-        "conv_id",
-        F.row_number().over(order).cast("long").alias("node"),
-        "role",
-        "text",
-    ).select(
-        "tree",
-        "conv_id",
-        "node",
-        F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"),
-        F.lit(1.0).alias("score"),
-        "role",
-        "text",
-    )
+def _keyed(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``tree_key``, the tree's id as a key for joins: null is a tree, too, and equals no other."""
+    if "tree_key" in nodes.columns:
+        return nodes
+    return nodes.withColumn("tree_key", F.coalesce(F.concat(F.lit("="), F.col("tree").cast("string")), F.lit("")))
 
 
-def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
-    """(tree, branch, node, nth) of the ``branches`` best root-to-leaf paths of each tree.
+def linear_trees(messages: DataFrame, texts: bool = True) -> DataFrame:
+    """Messages (conv_id, turn, role, text) as trees of one branch: every turn answers the one before it.
 
-    ``nodes`` has tree, node, parent and score; ``nth`` counts from the root.
+    Without ``texts`` text is not read and empty; the trees and their nodes are the same.
     """
-    own = nodes.select("tree", "node", "parent", F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))
-    known = own.select(F.col("tree").alias("kt"), F.col("node").alias("up"))
-    links = own.join(known, (F.col("tree") == F.col("kt")) & (F.col("parent") == F.col("up")), "left").select(
-        "tree", "node", "up", "score", F.lit(1).cast("long").alias("depth")
+    text = F.col("text") if texts else F.lit(None).cast("string").alias("text")
+    rows = _keyed(messages.select(F.col("conv_id").cast("string").alias("tree"), "conv_id", "turn", "role", text))
+    order = Window.partitionBy("tree_key").orderBy("turn", "role", "text")
+    rows = rows.withColumn("node", F.row_number().over(order).cast("long"))
+    parent = F.when(F.col("node") > 1, F.col("node") - 1)
+    return rows.select("tree_key", "tree", "conv_id", "node", parent.alias("parent"), F.lit(1.0).alias("score"), "role", "text")
+
+
+def path_parts(nodes: DataFrame, branches: int = 1) -> DataFrame:
+    """(tree_key, tree, branch, first, last, above) of the ``branches`` best root-to-leaf paths of each tree.
+
+    ``nodes`` has tree, node, parent and score; a node's id is its own within a tree. A path is a list of parts;
+    a part holds the nodes from ``first`` to ``last``, and ``above`` nodes of the path come before them.
+    """
+    own = _keyed(nodes).select("tree_key", "tree", "node", "parent", F.coalesce(F.col("score"), F.lit(0.0)).alias("score"))
+    order = Window.partitionBy("tree_key").orderBy("node")
+    own = own.withColumn("goes_on", F.coalesce(F.col("parent") == F.lag("node").over(order), F.lit(False)))
+    own = own.withColumn("first", F.max(F.when(~F.col("goes_on"), F.col("node"))).over(order))
+    run = Window.partitionBy("tree_key", "first").orderBy("node")
+    own = own.withColumns({"sum": F.sum("score").over(run), "depth": F.count(F.lit(1)).over(run)})
+    stretches = settle(
+        own.groupBy("tree_key", "first").agg(
+            F.min("tree").alias("tree"),
+            F.max(F.struct("node", "sum", "depth")).alias("end"),
+            F.min(F.when(~F.col("goes_on"), F.col("parent"))).alias("parent"),
+        )
+    )
+    # the node that a stretch answers, with what lies on the path up to it within its own stretch
+    asked = stretches.where(F.col("parent").isNotNull()).select(F.col("tree_key").alias("k"), F.col("first").alias("child"), F.col("parent").alias("p"))
+    columns = ["tree_key", F.col("child").alias("first"), F.col("up"), F.col("sum").alias("above_sum"), F.col("depth").alias("above"), F.col("node").alias("cut")]
+    if asked.isEmpty():
+        far = own.select(F.col("first").alias("child"), F.col("first").alias("up"), "tree_key", "sum", "depth", "node")
+        answered = own.sparkSession.createDataFrame([], far.select(*columns).schema)
+    else:
+        met = own.withColumnRenamed("first", "up").join(asked, (F.col("tree_key") == F.col("k")) & (F.col("node") == F.col("p")))
+        answered = settle(met.select(*columns))
+    told = answered.select(F.col("tree_key").alias("k"), F.col("first").alias("f"), "up", "above_sum", "above", "cut")
+    same = (F.col("tree_key") == F.col("k")) & (F.col("first") == F.col("f"))
+    links = stretches.select("tree_key", "first").join(told, same, "left").select(
+        "tree_key", "first", "up", F.coalesce("above_sum", F.lit(0.0)).alias("above_sum"), F.coalesce("above", F.lit(0)).cast("long").alias("above"), "cut"
     )
+    # only stretches that have not reached their root go on; the others lend them their sums
     links = settle(links)
-    # only nodes that have not reached their root go on; the others lend them their sums
     open_ = F.col("up").isNotNull()
     jumps, finished = [links.where(open_)], links.where(~open_)
-    while jumps[-1].limit(1).count():
+    while not jumps[-1].isEmpty():
         if len(jumps) > MAX_DOUBLINGS:
             raise ValueError("the replies of a tree form a cycle")
-        b = jumps[-1].unionByName(finished).select(*[F.col(c).alias(f"b_{c}") for c in ("tree", "node", "up", "score", "depth")])
-        further = jumps[-1].join(b, (F.col("tree") == F.col("b_tree")) & (F.col("up") == F.col("b_node"))).select(
-            "tree", "node", F.col("b_up").alias("up"), (F.col("score") + F.col("b_score")).alias("score"), (F.col("depth") + F.col("b_depth")).alias("depth")
-        )
-        further = settle(further)
+        names = ("tree_key", "first", "up", "above_sum", "above", "cut")
+        b = jumps[-1].unionByName(finished).select(*[F.col(c).alias(f"b_{c}") for c in names])
+        further = jumps[-1].join(b, (F.col("tree_key") == F.col("b_tree_key")) & (F.col("up") == F.col("b_first")))
+        sums = [(F.col(c) + F.col(f"b_{c}")).alias(c) for c in ("above_sum", "above")]
+        further = settle(further.select("tree_key", "first", F.col("b_up").alias("up"), *sums, F.col("b_cut").alias("cut")))
         jumps.append(further.where(open_))
         finished = finished.unionByName(further.where(~open_))
-    answered = links.where(F.col("up").isNotNull()).select("tree", F.col("up").alias("node"))
-    leaves = finished.join(answered, ["tree", "node"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy((F.col("score") / F.col("depth")).desc(), "node"))
-    reached = (
-        leaves.withColumn("branch", rank)
-        .where(F.col("branch") <= branches)
-        .select("tree", "branch", "node", F.col("depth").alias("nth"))
-    )
-    # after step k a path holds its last 2^k nodes; each jump table is used from the shortest on
+    tops = finished.select(F.col("tree_key").alias("k"), F.col("first").alias("f"), "above_sum", "above")
+    parents = answered.select("tree_key", F.col("cut").alias("last")).distinct()
+    leaves = stretches.select("tree_key", "tree", "first", F.col("end.node").alias("last"), "end.sum", "end.depth")
+    leaves = leaves.join(parents, ["tree_key", "last"], "left_anti").join(tops, same)
+    mean = (F.col("sum") + F.col("above_sum")) / (F.col("depth") + F.col("above"))
+    rank = F.row_number().over(Window.partitionBy("tree_key").orderBy(mean.desc(), "last"))
+    reached = leaves.select("tree_key", "tree", "first", "last", rank.alias("branch")).where(F.col("branch") <= branches)
+    # after step k a path holds its last 2^k stretches; each jump table is used from the shortest on
     for step, jump in enumerate(jumps[:-1]):
-        j = jump.select(F.col("tree").alias("jt"), F.col("node").alias("jn"), "up")
-        back = reached.join(j, (F.col("tree") == F.col("jt")) & (F.col("node") == F.col("jn"))).select(
-            "tree", "branch", F.col("up").alias("node"), (F.col("nth") - F.lit(2**step)).alias("nth")
-        )
+        j = jump.select(F.col("tree_key").alias("k"), F.col("first").alias("f"), "up", "cut")
+        back = reached.join(j, same).select("tree_key", "tree", F.col("up").alias("first"), F.col("cut").alias("last"), "branch")
         reached = reached.unionByName(back)
         if step % 3 == 2:
             reached = settle(reached)
-    return reached
+    return reached.join(tops, same).select("tree_key", "tree", "branch", "first", "last", "above")
 
 
-def format_paths(paths: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One row a path: tree, branch, n_turns, formatted and loss, the (start, length) of assistant texts."""
-    n = nodes.select(F.col("tree").alias("nt"), F.col("node").alias("nn"), "role", "text", "conv_id")
-    turns = paths.join(n, (F.col("tree") == F.col("nt")) & (F.col("node") == F.col("nn"))).select(
-        "tree", "conv_id", "branch", "nth", escape(F.col("role")).alias("r"), escape(F.col("text")).alias("t")
-    )
-    turns = turns.groupBy("tree", "conv_id", "branch").agg(F.sort_array(F.collect_list(F.struct("nth", "r", "t"))).alias("turns"))
-    head = lambda x: F.concat(F.lit(TURN), x["r"], F.lit(TEXT))
-    spans = F.aggregate(
-        "turns",
-        F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,len:bigint>>)").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(head(x)) + F.length(x["t"]) + F.lit(len(END))).alias("at"),
-            F.when(
-                x["r"] == "assistant",
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct((acc["at"] + F.length(head(x))).alias("start"), F.length(x["t"]).cast("long").alias("len"))),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
+def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
+    """(tree, branch, node, nth) of the ``branches`` best root-to-leaf paths of each tree; ``nth`` counts from the root."""
+    parts = path_parts(nodes, branches).withColumnRenamed("tree_key", "k")
+    own = _keyed(nodes).select("tree_key", "node")
+    on = parts.join(own, (F.col("k") == F.col("tree_key")) & F.col("node").between(F.col("first"), F.col("last")))
+    within = Window.partitionBy("tree_key", "branch", "first").orderBy("node")
+    return on.select("tree", "branch", "node", (F.col("above") + F.row_number().over(within)).alias("nth"))
+
+
+def format_paths(parts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One row a path: tree, conv_id, branch, formatted and loss, where its assistant texts stand.
+
+    ``nodes`` has conv_id, role and text, too. The texts are dealt by tree once; the parts of a tree's paths come to
+    them as one list. Places are prefix sums over a path's turns.
+    """
+    taken = parts.groupBy(F.col("tree_key").alias("k")).agg(F.collect_list(F.struct("branch", "first", "last", "above")).alias("parts"))
+    turns = _keyed(nodes).join(taken, F.col("tree_key") == F.col("k"))
+    # stretches are runs in the order of nodes, so a part's nodes lie between its ends
+    mine = F.filter("parts", lambda p: F.col("node").between(p["first"], p["last"]))
+    turns = turns.select("tree_key", "tree", "conv_id", "node", escape(F.col("role")).alias("r"), escape(F.col("text")).alias("t"), F.explode(mine).alias("part"))
+    turns = turns.select("*", "part.branch", "part.above").withColumn("head", F.concat(F.lit(TURN), F.col("r"), F.lit(TEXT)))
+    before = Window.partitionBy("tree_key", "branch").orderBy("above", "node").rowsBetween(Window.unboundedPreceding, -1)
+    for name, size in (("start", F.length), ("byte", F.octet_length)):
+        whole = (size("head") + size("t") + F.lit(len(END))).cast("long")
+        turns = turns.withColumn(name, F.coalesce(F.sum(whole).over(before), F.lit(0)) + size("head"))
+    span = F.struct("start", F.length("t").cast("long").alias("len"), "byte", F.octet_length("t").cast("long").alias("bytes"))
+    turn = F.struct("above", "node", F.concat("head", "t", F.lit(END)).alias("piece"), F.when(F.col("r") == "assistant", span).alias("span"))
+    paths = turns.groupBy("tree_key", "branch").agg(
+        F.min("tree").alias("tree"), F.min("conv_id").alias("conv_id"), F.sort_array(F.collect_list(turn)).alias("turns")
     )
-    return turns.select(
+    return paths.select(
         "tree",
         "conv_id",
         "branch",
-        F.array_join(F.transform("turns", lambda x: F.concat(head(x), x["t"], F.lit(END))), "").alias("formatted"),
-        spans.alias("loss"),
+        F.array_join(F.transform("turns", lambda x: x["piece"]), "").alias("formatted"),
+        F.transform(F.filter("turns", lambda x: x["span"].isNotNull()), lambda x: x["span"]).alias("loss"),
     )
 
 
@@ -154,9 +181,11 @@ def digests(formatted: DataFrame) -> DataFrame:
     """What can be read back from the formatted conversations, as counts and hashes."""
     back = formatted.withColumn("back", parse(F.col("formatted")))
     told = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    masked = F.array_join(
-        F.transform("loss", lambda s: unescape(F.expr("formatted").substr((s["start"] + 1).cast("int"), s["len"].cast("int")))), ""
-    )
+    # bytes are reached without counting characters from the start each time
+    part = lambda raw, s: unescape(F.decode(raw.substr((s["byte"] + 1).cast("int"), s["bytes"].cast("int")), "UTF-8"))
+    masked = F.transform(
+        F.array(F.encode("formatted", "UTF-8")), lambda raw: F.array_join(F.transform("loss", lambda s: part(raw, s)), "")
+    )[0]
     return back.withColumn("masked", masked).select(
         "conv_id",
         F.size("back").cast("long").alias("n_turns"),
@@ -184,8 +213,8 @@ def with_hostile(messages: DataFrame) -> DataFrame:
 
 def format_conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
     """Formatted conversations of (conv_id, turn, role, text)."""
-    nodes = settle(linear_trees(messages))
-    return format_paths(best_paths(nodes, branches), nodes)
+    parts = path_parts(linear_trees(messages, texts=False), branches)
+    return format_paths(parts, linear_trees(messages))
 
 
 SQL = r"""

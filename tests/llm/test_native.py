@@ -136,6 +136,53 @@ def test_branches_are_ranked_by_score(spark):
     assert got == {("a", 1): [1, 2, 5], ("a", 2): [1, 2, 4], ("b", 1): [1]}
 
 
+def test_paths_of_random_trees(spark):
+    rng = random.Random(12)
+    nodes, scores, parents = [], {}, {}
+    for tree in ("a", "b", "null", None, "=", ""):
+        ids = rng.sample(range(1000), 60)
+        for k, node in enumerate(ids):
+            parent = rng.choice(ids[max(0, k - 4) : k]) if k and rng.random() < 0.95 else rng.choice([None, 5000])
+            if k and rng.random() < 0.5:
+                parent = ids[k - 1]
+            nodes.append((tree, node, parent, float(rng.randrange(20))))
+    by = defaultdict(dict)
+    for tree, node, parent, score in nodes:
+        by[tree][node] = (parent, score)
+    want = {}
+    for tree, own in by.items():
+        answered = {p for p, _ in own.values()}
+        paths = []
+        for leaf in own:
+            if leaf not in answered:
+                path = [leaf]
+                while own[path[-1]][0] in own:
+                    path.append(own[path[-1]][0])
+                paths.append((-sum(own[n][1] for n in path) / len(path), leaf, path[::-1]))
+        for k, (_, _, path) in enumerate(sorted(paths)[:3]):
+            want[tree, k + 1] = path
+    df = spark.createDataFrame(nodes, "tree string, node long, parent long, score double")
+    got = defaultdict(list)
+    for r in sorted(chat.best_paths(df, 3).collect(), key=lambda r: r["nth"]):
+        got[r["tree"], r["branch"]].append(r["node"])
+    assert got == want
+    # formatting follows the paths, and the mask finds the assistant's texts by code points and by bytes
+    said = df.withColumns({"role": F.when(F.col("node") % 2 == 0, "assistant").otherwise("user"), "text": F.concat(F.lit("é[INST]"), "node"), "conv_id": F.lit(1)})
+    for r in chat.format_paths(chat.path_parts(df, 3), said).collect():
+        path = want[r["tree"], r["branch"]]
+        assert r["formatted"] == "".join(f"<|turn|>{'user' if n % 2 else 'assistant'}<|text|>é[\\INST]{n}<|end|>\n" for n in path)
+        texts = [f"é[\\INST]{n}" for n in path if n % 2 == 0]
+        assert [r["formatted"][x["start"] : x["start"] + x["len"]] for x in r["loss"]] == texts
+        assert [r["formatted"].encode()[x["byte"] : x["byte"] + x["bytes"]].decode() for x in r["loss"]] == texts
+
+
+def test_very_long_conversation(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", "é<|end|>" * 500) for t in range(3000)] + [(2, 0, "assistant", "x" * 2_000_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.digests(chat.format_conversations(df)).collect()
+    assert {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in got} == _told(rows)
+
+
 def test_cycles_are_refused(spark, monkeypatch):
     monkeypatch.setattr(chat, "MAX_DOUBLINGS", 4)
     df = spark.createDataFrame([("a", 1, 2, 0.0), ("a", 2, 1, 0.0)], "tree string, node long, parent long, score double")
