@@ -84,8 +84,12 @@ def likeness(a: Column, b: Column) -> Column:
 def edited(text: Column, following: Column) -> Column:
     """``text`` with its last quarter replaced by the first as many code points of ``following``."""
     n = F.length(text)
-    cut = F.floor(n / 4).cast("int")
-    return F.concat(text.substr(F.lit(1), n - cut), following.substr(F.lit(1), cut))
+    return F.concat(text.substr(F.lit(1), n - _quarter(n)), following.substr(F.lit(1), _quarter(n)))
+
+
+def _quarter(n: Column) -> Column:
+    """Code points that an edit of a text of ``n`` replaces."""
+    return F.floor(n / 4).cast("int")
 
 
 def _ranges(docs: DataFrame) -> list[int]:
@@ -102,40 +106,43 @@ def _range_of(bounds: list) -> Column:
 
 
 def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, both fingerprints and their likeness to the edited and next texts.
+    """doc_id, n_chars, edited_sha256, fp, edited_fp and next_fp of every row.
 
-    Documents are ordered within doc_id ranges; a range's last row takes the first row of the next range.
-    The range heads are few: one row a range, a few for each shuffle partition.
+    Documents are ordered within doc_id ranges. Behind the last row of a range stands a guest, the first row of the
+    next one, of which only as much text comes along as an edit can use. Guests are one row a range.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    bounds = _ranges(rows)
-    rows = rows.withColumn("range", _range_of(bounds))
-    heads = rows.groupBy("range").agg(F.min(F.struct("doc_id", "text")).alias("h"))
-    ring = Window.orderBy("range")
-    first = F.first("h").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    heads = settle(heads.select(F.col("range").alias("head_range"), F.coalesce(F.lead("h").over(ring), first)["text"].alias("head")))
-    order = Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    rows = rows.withColumn("following", F.lead("text").over(order))
-    # the rows already lie by range: only the heads, which carry texts, move for this join
-    joined = rows.join(heads, F.col("range") == F.col("head_range"), "left")
-    both = joined.select("doc_id", "text", F.coalesce("following", "head").alias("following"))
-    changed = both.select(
+    rows = rows.withColumn("range", _range_of(_ranges(rows)))
+    row = F.struct("doc_id", "text")
+    ends = rows.groupBy("range").agg(F.min(row).alias("head"), F.max(row).alias("tail"))
+    ends = settle(ends.select("range", F.col("head.text").alias("head"), F.length("tail.text").alias("n")))
+    first, last = ends.agg(F.min("range"), F.max("range")).first()
+    # ranges are numbered without gaps; the first follows the last
+    before = F.when(F.col("range") == first, F.lit(last)).otherwise(F.col("range") - 1) if first is not None else F.lit(0)
+    hosts = ends.select(F.col("range").alias("host"), "n")
+    guests = ends.select(before.alias("before"), "head").join(hosts, F.col("before") == F.col("host")).select(
+        F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        F.col("head").substr(F.lit(1), _quarter(F.col("n"))).alias("text"),
+        F.col("before").alias("range"),
+        fingerprint(F.col("head")).alias("fp"),
+        F.lit(True).alias("guest"),
+    )
+    rows = rows.withColumn("fp", fingerprint(F.col("text"))).withColumn("guest", F.lit(False)).unionByName(guests)
+    order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")
+    both = rows.withColumns({"following": F.lead("text").over(order), "next_fp": F.lead("fp").over(order)}).where(~F.col("guest"))
+    return both.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
-        F.xxhash64("following").alias("next_hash"),
-        F.xxhash64("text").alias("own_hash"),
         F.sha2(edited(F.col("text"), F.col("following")), 256).alias("edited_sha256"),
-        fingerprint(F.col("text")).alias("fp"),
+        "fp",
         fingerprint(edited(F.col("text"), F.col("following"))).alias("edited_fp"),
+        "next_fp",
     )
-    return changed
 
 
 def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row a document; fingerprints as 16 hexadecimal digits; ``n_near`` for query rows, else null."""
-    own = settle(neighbour_fingerprints(docs))
-    known = own.groupBy(F.col("own_hash").alias("known_hash")).agg(F.min("fp").alias("next_fp"))
-    joined = own.join(known, F.col("next_hash") == F.col("known_hash"), "left")
+    joined = own = settle(neighbour_fingerprints(docs))
     counts = near_counts(own.select("doc_id", "fp"), radius)
     counts = counts.withColumnRenamed("fp", "query_fp")
     # only query rows meet the counts: the others would share one null key
@@ -155,28 +162,47 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
 
 
+def _blocks(radius: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of every block."""
+    cuts = [64 * i // (radius + 3) for i in range(radius + 4)]
+    return [(low, high - low) for low, high in zip(cuts, cuts[1:], strict=False)]
+
+
 def _tables(fp: Column, radius: int) -> Column:
     """Keys of all permuted block tables: (table, block bits) hashed to one long each."""
-    blocks = radius + 3
-    cuts = [64 * i // blocks for i in range(blocks + 1)]
-    part = [F.shiftrightunsigned(fp, cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1).cast("long")) for i in range(blocks)]
-    return F.array(*[F.xxhash64(F.lit(t), *[part[i] for i in chosen]) for t, chosen in enumerate(combinations(range(blocks), 3))])
+    part = [F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) for low, bits in _blocks(radius)]
+    chosen = combinations(range(len(part)), 3)
+    return F.array(*[F.xxhash64(F.lit(t), *[part[i] for i in c]) for t, c in enumerate(chosen)])
+
+
+def _first_table(a: Column, b: Column, radius: int) -> Column:
+    """The first table that holds two fingerprints together: that of their first three equal blocks."""
+    differ = a.bitwiseXOR(b)
+    same = [F.shiftrightunsigned(differ, low).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) == 0 for low, bits in _blocks(radius)]
+    out = F.lit(None).cast("int")
+    for t, c in reversed(list(enumerate(combinations(range(len(same)), 3)))):
+        out = F.when(same[c[0]] & same[c[1]] & same[c[2]], F.lit(t)).otherwise(out)
+    return out
 
 
 def within_radius(queries: DataFrame, fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Pairs (query_fp, fp, distance) of distinct fingerprints within the radius, itself included."""
+    """Pairs (query_fp, fp, distance) of distinct fingerprints within the radius, itself included.
+
+    ``fps`` may have more columns, which stay; its fingerprints are distinct. A pair is taken from the first table
+    that holds it, so none has to be dropped afterwards.
+    """
     q = queries.select(F.col("fp").alias("query_fp")).distinct()
-    t = fps.select("fp").distinct()
-    q = q.select("query_fp", F.explode(_tables(F.col("query_fp"), radius)).alias("query_key"))
-    t = t.select("fp", F.explode(_tables(F.col("fp"), radius)).alias("key"))
+    q = q.select("query_fp", F.posexplode(_tables(F.col("query_fp"), radius)).alias("query_table", "query_key"))
+    t = fps.select("*", F.explode(_tables(F.col("fp"), radius)).alias("key"))
     distance = F.bit_count(F.col("query_fp").bitwiseXOR(F.col("fp")))
-    pairs = q.join(t, F.col("query_key") == F.col("key")).where(distance <= radius)
-    return pairs.select("query_fp", "fp", distance.alias("distance")).distinct()
+    first = _first_table(F.col("query_fp"), F.col("fp"), radius) == F.col("query_table")
+    pairs = q.join(t, (F.col("query_key") == F.col("key")) & (distance <= radius) & first)
+    return pairs.select("query_fp", *fps.columns, distance.alias("distance"))
 
 
 def near_counts(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, n_near): for the fingerprint of every query row, the other rows within the radius."""
     sizes = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
     queries = rows.where(F.pmod(F.col("doc_id"), F.lit(QUERY_STRIDE)) == 0)
-    pairs = within_radius(queries, rows, radius)
-    return pairs.join(sizes, "fp").groupBy(F.col("query_fp").alias("fp")).agg((F.sum("n") - 1).alias("n_near"))
+    pairs = within_radius(queries, sizes, radius)
+    return pairs.groupBy(F.col("query_fp").alias("fp")).agg((F.sum("n") - 1).alias("n_near"))
