@@ -10,7 +10,7 @@ all sums are whole numbers and the result does not depend on the partitioning.
 
 Edge cases: a null text and a text without letters get ``und`` and score 0; rows with a null language are
 predicted but not learned from; a null doc_id is neither held out nor learned from; without any training
-row everything is ``und``; ties go to the first language by name; other columns are not read.
+row everything is ``und``; ties (cosines within 1e-6) go to the first language by name; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +30,10 @@ DIM = 1024
 SEED = 4711
 UNKNOWN = "und"
 HELD_OUT = (4, 2)
+#: Cosines that differ by less than single precision tells are ties.
+TIE = 1e-6
+#: Languages that the table may teach: their prototypes are held by the driver and by every worker.
+MOST_LANGUAGES = 4096
 #: Languages a task counts at once before it passes its counts on.
 OPEN_LANGUAGES = 64
 
@@ -88,9 +92,14 @@ def _learn(batches):
 
 
 def prototypes(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages by name and their unit prototypes; DIM numbers a language reach the driver."""
+    """Languages by name and their unit prototypes; DIM numbers a language reach the driver.
+
+    A table with more than ``MOST_LANGUAGES`` values of lang is refused: such a column does not hold languages.
+    """
     arrow_batches(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("lang", "text")
+    if rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} values")
     sums = rows.mapInArrow(_learn, "lang string, place int, value double").groupBy("lang", "place").agg(F.sum("value").alias("value"))
     got = sums.collect()
     names = sorted({r["lang"] for r in got})
@@ -131,7 +140,7 @@ def _predictor(names: list[str], vectors: np.ndarray):
             if names and n:
                 found = cosines(batch.column("text"), vectors)
                 told = np.abs(found).sum(axis=1) > 0
-                best[told] = found[told].argmax(axis=1)
+                best[told] = (found[told] >= found[told].max(axis=1, keepdims=True) - TIE).argmax(axis=1)
                 score[told] = np.clip(found[told].max(axis=1), 0, 1)
             rest = [batch.column(c) for c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
