@@ -76,6 +76,7 @@ ORACLES = {
     "op1_minhash": minhash.SQL,
     "op2_chat": chat.SQL,
     "op4_licenses": licenses.SQL,
+    "op5_sharding": sharding.SQL,
     "op7_vectors": capfilters.SQL,
     "op10_mixing": mixing.SQL,
 }

@@ -83,3 +83,27 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     )
 
 
+def _crc_steps() -> list[int]:
+    """What four bits of a checksum become in one step of the reflected CRC-32."""
+    table = []
+    for n in range(16):
+        for _ in range(4):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    return table
+
+
+SQL = f"""
+WITH d AS (
+  SELECT source, doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, string_split(hex(encode(coalesce(text, ''))), '') AS digits,
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+n AS (SELECT *, CASE WHEN size = 1 THEN [] ELSE list_transform(range(0, len(digits)), lambda i: CAST(strpos('0123456789ABCDEF', digits[xor(i, 1) + 1]) - 1 AS BIGINT)) END AS nibbles FROM d),
+c AS (SELECT source, doc_id, size, k,
+             xor(list_reduce(list_prepend(4294967295, nibbles), lambda a, x: xor(a >> 4, {_crc_steps()}[(xor(a, x) & 15) + 1])), 4294967295) AS crc FROM n),
+r AS (SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY k, doc_id, crc, size) - 1) / (2.0::DOUBLE * count(*) OVER (PARTITION BY source)) AS fraction FROM c),
+p AS (SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST, k, doc_id, crc, size) - 1 AS position, count(*) OVER () AS total FROM r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(position * {SHARDS} // total AS INTEGER) AS shard,
+       CAST(position - ((position * {SHARDS} // total) * total + {SHARDS - 1}) // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM p
+"""

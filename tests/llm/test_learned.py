@@ -370,6 +370,98 @@ def test_languages_of_odd_tables(spark):
     assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(df).collect() if r["doc_id"] in (5, 7)} == {5: "und", 7: "und"}
 
 
+def test_language_ties_and_dirty_columns(spark, monkeypatch):
+    rows = [(i, "the same words in two tables", g) for i, g in [(0, "b"), (1, "a"), (4, "c")]] + [(9, "the same words", None)]
+    df = spark.createDataFrame([(i, t, g, "s", 1) for i, t, g in rows], DOCS)
+    learned = [i for i, _, g in rows if g and zlib.crc32(str(i).encode()) % 4 != 2]
+    assert len(learned) > 1
+    first = min(g for i, _, g in rows if i in learned)
+    assert {r["lang_pred"] for r in langid.identify(df).collect()} == {first}
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="more than 1 values"):
+        langid.identify(df)
+
+
+def test_languages_equal_brute_force(spark):
+    """Predictions and scores from bundles summed trigram by trigram in plain whole numbers."""
+    rng = random.Random(13)
+    words = {"x": ["alpha", "beta", "gamma"], "y": ["uno", "due", "tre"], "z": ["ein", "zwei", "drei"]}
+    rows = [(i, rng.choice([None, "", "12"] + [" ".join(rng.choices(words[g], k=9))] * 7), rng.choice([g, g, None])) for i, g in enumerate(rng.choices("xyz", k=80))]
+    rows += [(200, "alpha " * 3000 + "zwei", None)]
+    a, b, c = (x.astype(int) for x in langid._letters())
+
+    def bundle(text):
+        seq = [0]
+        for ch in (text or "") + " ":
+            z = letters.letter_class(ch)
+            seq += [z] if z or seq[-1] else []
+        return sum((a[p] * b[q] * c[r] for p, q, r in zip(seq, seq[1:], seq[2:], strict=False)), np.zeros(langid.DIM, int))
+
+    proto = {}
+    for i, t, g in rows:
+        if g and zlib.crc32(str(i).encode()) % 4 != 2:
+            proto[g] = proto.get(g, 0) + bundle(t)
+    got = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame([(i, t, g, "s", 1) for i, t, g in rows], DOCS).repartition(3)).collect()}
+    for i, t, _ in rows:
+        v = bundle(t)
+        if not any(letters.letter_class(ch) for ch in t or ""):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0)
+            continue
+        cosine = {g: v @ p / np.linalg.norm(v) / np.linalg.norm(p) for g, p in proto.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        assert got[i]["lang_pred"] == best and abs(got[i]["score"] - min(max(cosine[best], 0), 1)) < 1e-4
+
+
+def test_a_repeated_id_teaches_once(spark):
+    rows = [(7, "loser " * 3)] * 500 + [(i, "idiot house" if i % 3 == 0 else "good house") for i in range(100, 200)]
+    df = spark.createDataFrame([(i, t, None, "s", 1) for i, t in rows], DOCS)
+    labels = spark.createDataFrame([(7, 1)] + [(i, int(i % 3 == 0)) for i in range(100, 200)], "doc_id long, toxic int")
+    model = toxicity.letter_model(df)
+    seen = []
+    real = toxicity._logistic
+    toxicity._logistic = lambda rows, n: seen.append(len(rows)) or real(rows, n)
+    try:
+        toxicity.fit(df, labels, model, fit_rows=60)
+    finally:
+        toxicity._logistic = real
+    assert 0 < seen[0] <= 60
+
+
+def test_scores_equal_plain_logistic(spark):
+    """The fitted score against a slow logistic regression on the features that were chosen."""
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.choices(["good", "house", "river", "stone"], k=8) + (["loser"] if i % 5 == 0 else []) + (["moron"] if i % 7 == 0 else []))) for i in range(300)]
+    rows += [(900, None), (901, ""), (902, "loser " * 20_000)]
+    labels = [(i, int((i % 5 == 0 or i % 7 == 0) and rng.random() < 0.9)) for i in range(300)]
+    df = spark.createDataFrame([(i, t, None, "s", 1) for i, t in rows], DOCS)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.letter_model(df)
+    chosen, weights, bias = toxicity.fit(df, marks, model)
+    restorer = toxicity.Restorer(model)
+    found = {}
+    for i, t in rows:
+        owner, at = toxicity._hits(*toxicity.features(pa.array([t], pa.string()), restorer), chosen)
+        found[i] = set(at.tolist())
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, marks).collect()}
+    for i, _ in rows:
+        assert abs(got[i] - 1 / (1 + np.exp(-min(max(bias + sum(weights[k] for k in found[i]), -40), 40)))) < 1e-9
+    # the weights are where the penalised likelihood of the training rows, halved copies included, is flat
+    learned = [{"toxic": float(v), "found": sorted(found[i])} for i, v in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    again, base = toxicity._logistic(learned, len(chosen))
+    assert np.allclose(again, weights) and abs(base - bias) < 1e-9
+    rng2 = np.random.default_rng(toxicity.SEED)
+    x, y = [], []
+    for r in sorted(learned, key=lambda r: (r["toxic"], r["found"])):
+        for part in [r["found"]] if r["toxic"] < 0.5 else [r["found"], [k for k, u in zip(r["found"], rng2.random(len(r["found"])), strict=True) if u < 0.5]]:
+            if part is r["found"] or part:
+                x.append([float(k in part) for k in range(len(chosen))] + [1.0])
+                y.append(r["toxic"])
+    x, y = np.array(x), np.array(y)
+    p = 1 / (1 + np.exp(-(x @ np.append(weights, bias))))
+    slope = x.T @ (y - p) - np.append(0.01 * weights, 1e-6 * bias)
+    assert np.abs(slope).max() < 1e-3
+
+
 def test_toxicity_held_out(spark):
     sf = DATA.replace("sf0.001", "sf0.1")
     docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
