@@ -6,7 +6,7 @@
    union are the maxima of registers, so sketches merge; equal registers are locality-sensitive.
 2. Documents of equal sets form one class, and one representative goes on.
 3. ``BANDS`` bands of ``ROWS`` registers give bucket keys. Buckets with one member drop out; a large bucket
-   is cut into blocks, and only blocks that are not connected yet meet (see ``components.connect``), so no task
+   is cut into blocks, and only blocks that are not connected yet meet (see ``components.connected``), so no task
    holds more than two blocks. A pair is weighed only in its first common band, by the joint likelihood of its registers given both
    set sizes; pairs whose likelihood already falls ``DOUBT`` below the wanted similarity are implausible. A task emits a spanning
    forest of its plausible pairs, never the pairs.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.llm import bytetext as bt
-from siftwell.llm.components import components, connect
+from siftwell.llm.components import connected
 from siftwell.llm.support import arrow_batches, settle
 
 BANDS, ROWS = 30, 4
@@ -285,13 +285,13 @@ def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
     )
     keys = classes.select("rep", "regs").mapInArrow(_keys, "rep long, key long")
     keys = keys.select(F.col("key").alias("grp"), "rep", F.lit(1.0 / BLOCK).alias("w"))
-    groups = settle(components(connect(keys, classes.select("rep", "n", "regs"), _weigher(link))))
+    groups = settle(connected(keys, classes.select("rep", "n", "regs"), _weigher(link)))
 
     fills = F.greatest(F.col("n") / SET_BLOCK, F.lit(1.0 / MEMBER_BLOCK))
     sized = groups.join(classes.select("rep", "n"), F.col("node") == F.col("rep")).select(F.col("root").alias("grp"), "rep", fills.alias("w"))
     # rows that share a doc_id are one document; equal sets have one representative
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    links = components(connect(sized, texts, _comparer(link)))
+    links = connected(sized, texts, _comparer(link))
 
     named = classes.select(F.col("n").alias("cn"), F.col("p1").alias("c1"), F.col("p2").alias("c2"), "rep")
     named = named.join(links, F.col("rep") == F.col("node"), "left").select("cn", "c1", "c2", F.coalesce("root", "rep").alias("found"))

@@ -36,7 +36,7 @@ def test_crowded_groups_are_connected(spark, spread):
     values = [rng.randrange(max(spread, 1)) * 3 + rng.choice([0, 0, 1]) for _ in range(220)]
     members = spark.createDataFrame([(1 if i < 200 else 2, i, 1 / 6) for i in range(220)], "grp long, rep long, w double")
     payload = spark.createDataFrame(list(enumerate(values)), "rep long, value long")
-    found = components.components(components.connect(members, payload, _closer()))
+    found = components.connected(members, payload, _closer())
     got = {r["node"]: r["root"] for r in found.collect()}
     want = {}
     for lo, hi in ((0, 200), (200, 220)):
@@ -50,12 +50,12 @@ def test_crowded_groups_are_connected(spark, spread):
 
 
 def test_pairs_of_connected_blocks_never_meet(spark):
-    """A crowd of copies costs its members' rows, a delegate a block, and what joins two odd members to it."""
+    """A crowd of copies costs its members' rows, twice, a delegate a part, and what joins two odd members to it."""
     members = spark.createDataFrame([(1, i, 1 / 10) for i in range(400)], "grp long, rep long, w double")
     payload = spark.createDataFrame([(i, 0 if i > 1 else 50 * (i + 1)) for i in range(400)], "rep long, value long")
     met = spark.sparkContext.accumulator(0)
 
-    components.components(components.connect(members, payload, _closer(met))).count()
+    components.connected(members, payload, _closer(met)).count()
     assert 400 < met.value < 400 * 4  # 400 * 40 if all pairs of blocks met
 
 
@@ -81,7 +81,22 @@ def test_stage_keeps_clashing_columns(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
 
 
+@pytest.mark.parametrize("edges_a_task", [7, 40, 10**6])
+def test_components_beyond_one_task(spark, monkeypatch, edges_a_task):
+    monkeypatch.setattr(components, "TASK_EDGES", edges_a_task)
+    rng = random.Random(edges_a_task)
+    edges = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] * 3 + [(100 + k, 101 + k) for k in range(70)]
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in range(200):
+        for u, v in edges:
+            if u != v:
+                root[u] = root[v] = min(root[u], root[v])
+    got = components.components(spark.createDataFrame([*edges, (None, 1), (2, None), (500, 500)], "u long, v long")).collect()
+    assert len(got) == len(root) and {r["node"]: r["root"] for r in got} == root
+
+
 def test_hubs_and_chains(spark, monkeypatch):
+    monkeypatch.setattr(components, "TASK_EDGES", 50)
     monkeypatch.setattr(components, "LEAST_HUB", 3)
     monkeypatch.setattr(components, "HUBS", 40)
     rng = np.random.default_rng(5)
