@@ -104,7 +104,7 @@ def quota_table(counts: DataFrame, columns: tuple[str, ...], options: SelectionO
 
 
 def distributed_quotas(counts: DataFrame, columns: tuple[str, ...], options: SelectionOptions) -> DataFrame:
-    """The same rounds for more bins than the driver should hold; ``strict_target`` is not offered here.
+    """The same rounds, and the same quotas, for more bins than the driver should hold.
 
     Every round is an aggregate and a projection; only a few totals reach the driver.
     """
@@ -130,7 +130,8 @@ def distributed_quotas(counts: DataFrame, columns: tuple[str, ...], options: Sel
         ).first()
         left = target - state["used"]
         if left <= 0 or not state["open"]:
-            return now.drop("weight", "part")
+            now = now.drop("weight", "part")
+            return _trimmed(now, columns, -left) if options.strict_target and left < 0 else now
         open_ = F.col("quota") < F.col("n")
         gain = F.least(F.floor(left * F.col("weight") / F.lit(state["w"] or 1.0)), F.col("n") - F.col("quota"))
         if not first and left >= state["open"] and now.where(open_ & (gain > 0)).limit(1).count():
@@ -146,6 +147,28 @@ def distributed_quotas(counts: DataFrame, columns: tuple[str, ...], options: Sel
         order = [F.col("weight").desc(), F.col("n").desc(), F.col("quota").desc(), *columns]
 
 
+def _trimmed(now: DataFrame, columns: tuple[str, ...], excess: int) -> DataFrame:
+    """``now`` with ``excess`` taken off the largest quotas, one by one from the largest, the first key on ties.
+
+    That leaves every quota at most at one level, and the first of those at the level one below it.
+    """
+    over = lambda level: now.agg(F.coalesce(F.sum(F.greatest(F.col("quota") - F.lit(level), F.lit(0))), F.lit(0))).first()[0]
+    low, high = 0, now.agg(F.max("quota")).first()[0]
+    while low < high:  # the lowest level that takes no more than the excess
+        mid = (low + high) // 2
+        low, high = (low, mid) if over(mid) <= excess else (mid + 1, high)
+    rest = excess - over(low)
+    cut = now.withColumn("quota", F.least("quota", F.lit(low)))
+    if not rest:
+        return cut
+    first = cut.where(F.col("quota") == low).orderBy(*columns).limit(rest).select(*[F.col(c).alias(f"key_{c}") for c in columns], F.lit(1).alias("less"))
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"key_{c}"))
+    cut = cut.join(first, same, "left").withColumn("quota", F.col("quota") - F.coalesce("less", F.lit(0)))
+    return cut.drop("less", *[f"key_{c}" for c in columns])
+
+
 def score_order(score: str, ties: list[str]) -> list[Column]:
     """Finite scores first and descending, then the tie columns."""
     c = F.col(score).cast("double")
