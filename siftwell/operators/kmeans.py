@@ -19,6 +19,8 @@ from siftwell.tables import settle
 BLOCK_BYTES = 256 << 20
 #: Distances a task holds at once.
 CHUNK = 4_000_000
+#: Seeds drawn between two writings of the least distances.
+REFRESH = 16
 METRICS = ("l2", "cos")
 
 
@@ -118,15 +120,17 @@ def _partial(batches):
 def centroids(assigned: DataFrame, previous: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(centroids, sizes): means of the clusters 0..k-1; an empty cluster keeps its previous centroid.
 
-    Tasks sum their own points; one row a cluster and component reaches the driver.
+    Tasks sum their own points; one array a cluster reaches the driver.
     """
     parts = assigned.select("cluster_id", "embedding").mapInArrow(_partial, "cluster_id long, place int, total double, n long")
-    rows = parts.groupBy("cluster_id", "place").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).toPandas()
+    sums = parts.groupBy("cluster_id", "place").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    sums = sums.groupBy("cluster_id").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("place", "total")))["total"].alias("total"))
+    rows = sums.toArrow()
     out, sizes = np.array(previous, np.float64), np.zeros(len(previous), np.int64)
-    if len(rows):
-        c, p = rows["cluster_id"].to_numpy(), rows["place"].to_numpy()
-        out[c, p] = rows["total"].to_numpy() / rows["n"].to_numpy()
-        sizes[c] = rows["n"].to_numpy()
+    if rows.num_rows:
+        c, n = rows.column("cluster_id").to_numpy(), rows.column("n").to_numpy()
+        out[c] = _rows(rows.column("total").combine_chunks()) / n[:, None]
+        sizes[c] = n
     return out, sizes
 
 
@@ -142,6 +146,11 @@ def unit_hash(seed: int, *cols: str) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), 11).cast("double") + 0.5) * F.lit(2.0**-53)
 
 
+def seeded(seed: int, *cols: str) -> Column:
+    """A repeatable sort key from columns and a seed that any SQL engine can tell, too."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
+
+
 def _vectors(rows: list) -> np.ndarray:
     return np.array([r["embedding"] for r in rows], np.float64)
 
@@ -151,18 +160,74 @@ def random_init(points: DataFrame, k: int, seed: int) -> np.ndarray:
     return _vectors(points.orderBy(unit_hash(seed, "point_id"), "point_id").limit(k).collect())
 
 
-def plusplus_init(points: DataFrame, k: int, seed: int, metric: str = "l2") -> tuple[np.ndarray, list]:
+def _closer(base: DataFrame, centres: np.ndarray, metric: str) -> DataFrame:
+    """``base`` (point_id, embedding, dist) with distances lowered to those of more centres."""
+    if not len(centres):
+        return base
+
+    def run(batches):
+        for batch in batches:
+            d = distances(_rows(batch.column("embedding")), centres, metric).min(axis=1)
+            least = np.minimum(d, batch.column("dist").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column("point_id"), batch.column("embedding"), pa.array(least)], ["point_id", "embedding", "dist"])
+
+    return base.mapInArrow(run, base.schema)
+
+
+class Kept:
+    """Centres of a run, kept in a folder that outlives the driver, so a run that broke goes on where it was.
+
+    Without a folder nothing is kept. Every step is a table of its own; the last whole one counts.
+    """
+
+    def __init__(self, spark, folder: str | None) -> None:
+        self.spark, self.folder = spark, folder
+
+    def read(self, kind: str) -> tuple[int, np.ndarray, list] | None:
+        """(step, centres, point ids) of the last step kept."""
+        if self.folder is None:
+            return None
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        place = hadoop.Path(f"{self.folder}/{kind}-*/_SUCCESS")
+        found = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+        paths = sorted(str(f.getPath().getParent()) for f in found or [])
+        if not paths:
+            return None
+        rows = self.spark.read.parquet(paths[-1]).orderBy("place").collect()
+        return int(paths[-1].rpartition("-")[2]), _vectors(rows), [r["point_id"] for r in rows]
+
+    def write(self, kind: str, step: int, centres: np.ndarray, ids: list | None = None) -> None:
+        """Keep the centres of a step."""
+        if self.folder is not None:
+            rows = [(i, None if ids is None else ids[i], [float(v) for v in c]) for i, c in enumerate(centres)]
+            kind_of_id = "string" if ids and isinstance(ids[0], str) else "long"
+            table = self.spark.createDataFrame(rows, f"place int, point_id {kind_of_id}, embedding array<double>")
+            table.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{kind}-{step:08d}")
+
+
+def plusplus_init(points: DataFrame, k: int, seed: int, metric: str = "l2", kept: Kept | None = None) -> tuple[np.ndarray, list]:
     """Greedy k-means++: each step draws 2 + floor(ln k) candidates by distance and keeps the best.
 
     Candidates are the points with the least exponential key -ln(u) / distance: a weighted draw without a
-    running sum. Each step is a pass over the points, for small k or samples; ``kmeans`` offers more.
+    running sum. Each step is a pass over the points with their least distance so far, which is written anew every
+    ``REFRESH`` steps, so a step costs as much late as early. ``kept`` remembers the centres at those steps.
     """
     _check(metric)
-    first = points.orderBy(unit_hash(seed, "point_id"), "point_id").limit(1).collect()
-    centres, ids = [_vectors(first)[0]], [first[0]["point_id"]]
+    kept = kept or Kept(points.sparkSession, None)
+    known = kept.read("seeds")
+    if known is None:
+        first = points.orderBy(unit_hash(seed, "point_id"), "point_id").limit(1).collect()
+        centres, ids = [_vectors(first)[0]], [first[0]["point_id"]]
+    else:
+        centres, ids = list(known[1]), known[2]
     trials = 2 + int(log(k)) if k > 1 else 1
-    for step in range(1, k):
-        near = assign_nearest(points, np.array(centres), metric)
+    base, done = points.select("point_id", "embedding", F.lit(float("inf")).alias("dist")), 0
+    for step in range(len(centres), k):
+        near = _closer(base, np.array(centres[done:]), metric)
+        if len(centres) - done >= REFRESH:
+            base = near = settle(near, instead_of=base if done else None)
+            done = len(centres)
+            kept.write("seeds", step, np.array(centres), ids)
         key = -F.log(unit_hash(seed + step, "point_id")) / F.col("dist")
         drawn = near.where(F.col("dist") > 0).orderBy(key, "point_id").limit(trials).collect()
         if not drawn:  # fewer distinct points than clusters
@@ -191,14 +256,17 @@ def _gains(options: np.ndarray, metric: str):
 
 
 def parallel_init(points: DataFrame, k: int, seed: int, rounds: int = 5) -> np.ndarray:
-    """k-means||: a few passes each draw about 2k points by distance; the weighted draws are reduced locally."""
+    """k-means||: a few passes each draw points by distance; the weighted draws are reduced locally.
+
+    A pass draws every point for itself, 2k of them on average, and all that are drawn count.
+    """
     drawn = random_init(points, 1, seed)
     for r in range(rounds):
         near = assign_nearest(points, drawn)
         total = near.agg(F.sum("dist")).first()[0] or 0.0
         if total <= 0:
             break
-        lucky = near.where(unit_hash(seed + 101 + r, "point_id") < F.lit(2.0 * k / total) * F.col("dist")).orderBy("point_id").limit(8 * k).collect()
+        lucky = near.where(unit_hash(seed + 101 + r, "point_id") < F.lit(2.0 * k / total) * F.col("dist")).orderBy("point_id").collect()
         if lucky:
             drawn = np.concatenate([drawn, _vectors(lucky)])
     if len(drawn) <= k:
@@ -237,9 +305,13 @@ INITS = ("kmeans++", "kmeans||", "random")
 
 
 def kmeans(
-    points: DataFrame, k: int, iterations: int = 50, init: str = "kmeans++", num_init: int = 1, metric: str = "l2", seed: int = 0
+    points: DataFrame, k: int, iterations: int = 50, init: str = "kmeans++", num_init: int = 1, metric: str = "l2", seed: int = 0, keep: str | None = None
 ) -> tuple[np.ndarray, DataFrame, float]:
-    """(centroids, assigned points, potential), the best of ``num_init`` runs; k is at most the number of points."""
+    """(centroids, assigned points, potential), the best of ``num_init`` runs; k is at most the number of points.
+
+    ``keep`` names a folder for the centres of every ``REFRESH``-th seed and of every round; a call with the same
+    points, options and folder goes on from there.
+    """
     _check(metric)
     if init not in INITS:
         raise ValueError(f"unknown init {init!r}: choose one of {INITS}")
@@ -251,14 +323,19 @@ def kmeans(
     best = None
     for run in range(num_init):
         s = seed + 7919 * run
-        if init == "kmeans++":
-            centres = plusplus_init(points, k, s, metric)[0]
+        kept = Kept(points.sparkSession, keep and f"{keep}/run-{run}")
+        known = kept.read("round")
+        if known is not None:
+            centres = known[1]
+        elif init == "kmeans++":
+            centres = plusplus_init(points, k, s, metric, kept)[0]
         else:
             centres = parallel_init(points, k, s) if init == "kmeans||" else random_init(points, k, s)
-        for _ in range(iterations):
+        for step in range(known[0] if known else 0, iterations):
             moved, _ = centroids(assign_nearest(points, centres, metric), centres)
             still = np.array_equal(moved, centres)
             centres = moved
+            kept.write("round", step + 1, centres)
             if still:  # a fixed point: further rounds would change nothing
                 break
         assigned = assign_nearest(points, centres, metric)
@@ -280,7 +357,7 @@ def closest_members(assigned: DataFrame, n: int) -> DataFrame:
 
 def random_members(assigned: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """``n`` members of every cluster, the first in a seeded order."""
-    order = Window.partitionBy("cluster_id").orderBy(unit_hash(seed, "point_id"), "point_id")
+    order = Window.partitionBy("cluster_id").orderBy(seeded(seed, "point_id"), "point_id")
     return assigned.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
