@@ -31,7 +31,7 @@ def summarize(runs: DataFrame) -> DataFrame:
     ``speedup`` compares with the first backend by name at the same worker count; null if it has no such run.
     """
     best = runs.groupBy("backend").agg(F.max_by(F.struct("workers", "images_per_second"), F.struct("images_per_second", -F.col("workers"))).alias("b"))
-    first = runs.agg(F.min("backend").alias("first"))
+    first = runs.agg(F.min("backend").alias("first"))  # one row: broadcast is bounded by construction
     base = runs.join(F.broadcast(first), F.col("backend") == F.col("first")).groupBy(F.col("workers").alias("w")).agg(F.max("images_per_second").alias("base"))
     return best.join(base, F.col("b.workers") == F.col("w"), "left").select(
         "backend", F.col("b.workers").alias("best_workers"), F.col("b.images_per_second").alias("best_rate"), (F.col("b.images_per_second") / F.col("base")).alias("speedup")

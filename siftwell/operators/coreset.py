@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from siftwell.config import PatchOptions
 from siftwell.schemas import ROLE_SCORES
+from siftwell.tables import settle
 
 
 def keep_count(n: Column, options: PatchOptions = PatchOptions()) -> Column:
@@ -55,7 +56,8 @@ def select_coreset(tiles: DataFrame, options: PatchOptions = PatchOptions()) ->
     """
     by_sample = Window.partitionBy("sample_id")
     counted = tiles.withColumn("local_valid_patch_count", F.count(F.lit(1)).over(by_sample).cast("int"))
-    counted = counted.withColumn("keep", keep_count(F.col("local_valid_patch_count"), options))
+    # three branches read it: neighbours and scores are worked out once
+    counted = settle(counted.withColumn("keep", keep_count(F.col("local_valid_patch_count"), options)))
     whole = counted.where(F.col("keep") >= F.col("local_valid_patch_count")).withColumn("selection_role", F.lit("all_retained"))
     part = counted.where(F.col("keep") < F.col("local_valid_patch_count"))
     narrow = part.select("sample_id", "patch_index", "keep", "objective_score", "state_bin", "interface_bin", *ROLE_SCORES.values())

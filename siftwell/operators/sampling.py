@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.operators.hierarchy import cluster_sizes
-from siftwell.operators.kmeans import unit_hash
+from siftwell.operators.kmeans import seeded
 
 STRATEGIES = ("r", "c")
 
@@ -44,7 +44,7 @@ def cluster_targets(edges: DataFrame, levels: int, target: int, multiplier: int
     if target < 0:
         raise ValueError("the target must not be negative")
     sizes = cluster_sizes(edges, levels)
-    lucky = [unit_hash(seed, "cluster_id"), F.col("cluster_id")] if strategy == "r" else [F.col("cluster_id")]
+    lucky = [seeded(seed, "cluster_id"), F.col("cluster_id")] if strategy == "r" else [F.col("cluster_id")]
     capacity = lambda level: sizes.where(F.col("level") == level).select("cluster_id", (F.col("flat_size") * multiplier).alias("capacity"))
     now = capacity(levels).withColumns({"whole": F.lit(0), "target": F.lit(target).cast("long")})
     now = water_fill(now, ["whole"], "capacity", "target", "cluster_id", lucky).select("cluster_id", "share")
@@ -63,7 +63,7 @@ def hierarchical_sample(edges: DataFrame, levels: int, target: int, multiplier:
     shares = cluster_targets(edges, levels, target, multiplier, strategy, seed).withColumnRenamed("cluster_id", "sc")
     members = edges.where(F.col("level") == 1).select("cluster_id", F.col("child_id").alias("point_id"), "rank")
     rows = members.join(shares, F.col("cluster_id") == F.col("sc"))
-    order = [unit_hash(seed + 1, "point_id"), F.col("point_id")] if strategy == "r" else [F.col("rank"), F.col("point_id")]
+    order = [seeded(seed + 1, "point_id"), F.col("point_id")] if strategy == "r" else [F.col("rank"), F.col("point_id")]
     nth = F.row_number().over(Window.partitionBy("cluster_id").orderBy(*order))
     whole = F.floor(F.col("share") / F.col("size"))
     copies = whole + (nth <= F.col("share") - whole * F.col("size")).cast("long")

@@ -135,17 +135,14 @@ def topk_per_bin(spark, d):
 
 @query(
     "nan_backfill",
-    """WITH v AS (SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS score FROM events WHERE event_id % 50 < 3),
+    """WITH v AS (SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS score FROM events),
        c AS (SELECT event_type, count(*) AS n FROM v GROUP BY event_type),
        k AS (SELECT v.*, (c.n * 4) // 5 AS quota, row_number() OVER (PARTITION BY v.event_type ORDER BY v.score IS NULL, v.score DESC, v.event_id) AS rank FROM v JOIN c USING (event_type))
        SELECT event_id, event_type, score FROM k WHERE rank <= quota""",
 )
 def nan_backfill(spark, d):
     """Rows without a finite score come last and still fill a quota."""
-    return _backfilled(table(spark, d, "events").where(F.col("event_id") % 50 < 3))
-
-
-def _backfilled(events):
+    events = table(spark, d, "events")
     score = F.when(F.col("event_id") % 3 == 0, F.when(F.col("event_id") % 2 == 0, F.lit(float("nan")))).otherwise(F.col("value"))
     rows = events.select("event_id", "event_type", score.alias("score"))
     quota = lambda counts: counts.select("event_type", F.expr("n * 4 div 5").alias("quota"))
@@ -153,12 +150,6 @@ def _backfilled(events):
     return best.withColumn("score", F.when(~F.isnan("score"), F.col("score")))
 
 
-@query("nan_backfill_whole", ORACLES["nan_backfill"].replace(" WHERE event_id % 50 < 3", ""))
-def nan_backfill_whole(spark, d):
-    """The same over all events."""
-    return _backfilled(table(spark, d, "events"))
-
-
 # ---- statistics ---------------------------------------------------------------------------------
 
 
@@ -266,25 +257,14 @@ def run_summary(spark, d):
 
 @query(
     "kde_divergence",
-    """WITH v AS (SELECT value / 100 AS x FROM events WHERE event_id % 100 = 0),
+    """WITH v AS (SELECT value / 100 AS x FROM events),
        g AS (SELECT (i + 0.5) / 50 AS spot FROM range(50) t(i)),
        k AS (SELECT spot, sum(exp(-((spot - x) / 0.1) * ((spot - x) / 0.1) / 2)) AS mass FROM g, v GROUP BY spot),
        p AS (SELECT mass / sum(mass) OVER () AS p FROM k)
        SELECT round(sum(p * ln(p * 50)), 5) AS divergence FROM p""",
 )
 def kde_divergence(spark, d):
-    """How far a kernel density is from uniform: a fixed grid of 50 places against a report sample."""
-    values = table(spark, d, "events").where(F.col("event_id") % 100 == 0).select((F.col("value") / 100).alias("x"))
-    grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(49)), lambda i: (i + 0.5) / 50))
-    gap = (F.col("at") - F.col("x")) / 0.1
-    mass = values.select("x", grid.alias("at")).groupBy("at").agg(F.sum(F.exp(-gap * gap / 2)).alias("mass"))
-    share = mass.select((F.col("mass") / F.sum("mass").over(Window.partitionBy())).alias("p"))
-    return share.agg(F.round(F.sum(F.col("p") * F.log(F.col("p") * 50)), 5).alias("divergence"))
-
-
-@query("kde_divergence_whole", ORACLES["kde_divergence"].replace(" WHERE event_id % 100 = 0", ""))
-def kde_divergence_whole(spark, d):
-    """The same over all events: one pass with a sum for each place, so a row is never repeated."""
+    """How far a kernel density is from uniform: one pass with a sum for each of 50 places, so no row is repeated."""
     x = F.col("value") / 100
     gap = [(F.lit((i + 0.5) / 50) - x) / 0.1 for i in range(50)]
     sums = table(spark, d, "events").agg(*[F.sum(F.exp(-g * g / 2)).alias(f"m{i}") for i, g in enumerate(gap)])
@@ -689,7 +669,11 @@ def closest_members(spark, d):
     return kmeans.closest_members(near, 5).select("point_id", "cluster_id")
 
 
-@query("random_members")
+@query(
+    "random_members",
+    """SELECT point_id, cluster_id, rank FROM (SELECT vec_id AS point_id, label::BIGINT AS cluster_id, row_number() OVER (PARTITION BY label ORDER BY md5('3:' || vec_id), vec_id)::INT AS rank FROM embeddings)
+       WHERE rank <= 5""",
+)
 def random_members(spark, d):
     """Five members of each cluster in a seeded order."""
     return kmeans.random_members(_points(spark, d), 5, 3).select("point_id", "cluster_id", "rank")
@@ -826,18 +810,18 @@ def water_fill(spark, d):
     return sampling.water_fill(rows, ["whole"], "capacity", "target", "cluster_id", [F.col("cluster_id")]).select("cluster_id", "capacity", "share")
 
 
-def _water(parents: str, children: str) -> str:
+def _water(parents: str, children: str, lucky: str = "id") -> str:
     """SQL that pours targets of ``parents`` (p, target) over ``children`` (p, id, cap): (id, cap, share)."""
-    return f"""SELECT id, cap, base + CASE WHEN x IS NOT NULL AND cap > x AND sum(CASE WHEN cap > x THEN 1 ELSE 0 END) OVER (PARTITION BY p ORDER BY id) <= target - sum(base) OVER (PARTITION BY p) THEN 1 ELSE 0 END AS share
+    return f"""SELECT id, cap, base + CASE WHEN x IS NOT NULL AND cap > x AND sum(CASE WHEN cap > x THEN 1 ELSE 0 END) OVER (PARTITION BY p ORDER BY {lucky}) <= target - sum(base) OVER (PARTITION BY p) THEN 1 ELSE 0 END AS share
       FROM (SELECT p, id, cap, target, x, CASE WHEN x IS NULL THEN cap ELSE least(cap, x) END AS base
         FROM (SELECT *, min(CASE WHEN lv < cap THEN {{'n': nth, 'lv': lv}} END) OVER (PARTITION BY p).lv AS x
           FROM (SELECT *, (target - before) // n_left AS lv FROM (SELECT c.p, c.id, c.cap, t.target, row_number() OVER w AS nth, count(*) OVER (PARTITION BY c.p) - row_number() OVER w + 1 AS n_left,
             coalesce(sum(cap) OVER (PARTITION BY c.p ORDER BY cap, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM ({children}) c JOIN ({parents}) t USING (p) WINDOW w AS (PARTITION BY c.p ORDER BY cap, id)))))"""
 
 
-def _two_levels(target: int, times: int) -> str:
-    region = _water(f"SELECT 0 AS p, {target} AS target", f"SELECT 0 AS p, n_regionkey AS id, count(*) * {times} AS cap FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_regionkey")
-    nation = _water("SELECT id AS p, share AS target FROM regions", f"SELECT n_regionkey AS p, n_nationkey AS id, count(*) * {times} AS cap FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2")
+def _two_levels(target: int, times: int, lucky: str = "id") -> str:
+    region = _water(f"SELECT 0 AS p, {target} AS target", f"SELECT 0 AS p, n_regionkey AS id, count(*) * {times} AS cap FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_regionkey", lucky)
+    nation = _water("SELECT id AS p, share AS target FROM regions", f"SELECT n_regionkey AS p, n_nationkey AS id, count(*) * {times} AS cap FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2", lucky)
     return f"regions AS ({region}), nations AS ({nation})"
 
 
@@ -846,8 +830,8 @@ def two_level_targets(spark, d):
     return sampling.cluster_targets(_edges(spark, d), 2, 500, 1, "c")
 
 
-def _sample_sql(target: int, times: int) -> str:
-    return "WITH " + _two_levels(target, times) + f""", k AS (SELECT c_custkey, c_nationkey, share, cap / {times} AS size, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS nth FROM customer JOIN nations ON id = c_nationkey),
+def _sample_sql(target: int, times: int, lucky: str = "id", order: str = "c_acctbal DESC, c_custkey") -> str:
+    return "WITH " + _two_levels(target, times, lucky) + f""", k AS (SELECT c_custkey, c_nationkey, share, cap / {times} AS size, row_number() OVER (PARTITION BY c_nationkey ORDER BY {order}) AS nth FROM customer JOIN nations ON id = c_nationkey),
       r AS (SELECT c_custkey AS point_id, c_nationkey::BIGINT AS cluster_id, (floor(share / size) + CASE WHEN nth <= share - floor(share / size) * size THEN 1 ELSE 0 END)::BIGINT AS copies FROM k)
       SELECT * FROM r WHERE copies > 0"""
 
@@ -869,7 +853,10 @@ def expand_copies(spark, d):
     return sampling.expand_copies(sample).groupBy("point_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("hierarchical_sample_random")
+@query("hierarchical_sample_random", _sample_sql(500, 1, "md5('9:' || id), id", "md5('10:' || c_custkey), c_custkey"))
 def hierarchical_sample_random(spark, d):
     """The same budget with a seeded choice."""
     return sampling.hierarchical_sample(_edges(spark, d), 2, 500, 1, "r", 9)
+
+
+from siftwell.plans import stored  # noqa: E402, F401  registers its queries
