@@ -34,8 +34,6 @@ class PatchOptions:
     nuisance_weight: float = 0.35
     state_gain_bonus: float = 0.35
     interface_gain_bonus: float = 0.20
-    image_format: str = "png"
-    jpeg_quality: int = 95
 
     def __post_init__(self) -> None:
         factors = tuple(dict.fromkeys(float(f) for f in self.magnification_factors))
@@ -72,6 +70,14 @@ def parse_counts(text: str) -> tuple[int, ...]:
     return counts
 
 
+def parse_ids(text: str) -> tuple[int, ...]:
+    """Comma-separated whole numbers from 0 on, without repeats; no text, no ids."""
+    ids = tuple(dict.fromkeys(int(x) for x in text.split(",") if x.strip()))
+    if ids and min(ids) < 0:
+        raise ValueError("ids must not be negative")
+    return ids
+
+
 def parse_image_format(text: str) -> str:
     """A known image format in lower case, with or without a dot."""
     found = text.strip().lower().lstrip(".")

@@ -10,10 +10,12 @@ import json
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siftwell.files import write_text
 from siftwell.functions.text import custom_metadata, member_name, normalize_metadata, shard_token, slugify
+from siftwell.session import bound_batches
 
 #: Rows of one part file of a manifest.
 PART_ROWS = 100_000
@@ -22,15 +24,16 @@ STATS = "source_shard string, tar_name string, written long, missing long, empty
 
 
 def write_manifest(rows: DataFrame, path: str, bins: list[str] | None = None) -> None:
-    """Selected rows as Parquet, at most ``PART_ROWS`` a file; with ``bins`` the rows of a bin stay together."""
-    placed = rows.repartition(*bins) if bins else rows
-    placed.write.option("maxRecordsPerFile", PART_ROWS).parquet(path)
+    """Selected rows as Parquet: at most ``PART_ROWS`` a file, or with ``bins`` every bin whole in one file."""
+    if bins:
+        rows.repartition(*bins).write.parquet(path)
+    else:
+        rows.write.option("maxRecordsPerFile", PART_ROWS).parquet(path)
 
 
 def write_json(path: str, value: dict) -> None:
-    """A small document with sorted keys."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, indent=2, sort_keys=True))
+    """A small document with sorted keys, in any store that Spark reads."""
+    write_text(SparkSession.active(), path, json.dumps(value, indent=2, sort_keys=True))
 
 
 def crops(manifest: DataFrame, images: DataFrame, image_format: str = "png", per_tar: int | None = None) -> DataFrame:
@@ -163,17 +166,25 @@ def output_names(images: DataFrame) -> DataFrame:
     ).drop("stem", "ending", "nth")
 
 
-def write_files(rows: DataFrame, folder: str) -> None:
-    """Rows (name, bytes) as files of a shared folder."""
+def write_files(rows: DataFrame, folder: str, image_format: str | None = None, quality: int = 95) -> int:
+    """Rows (name, bytes) as files of a shared folder, in another image format if one is given; returns how many."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        from siftwell.sources.codec import decode, encode
 
-    def run(part) -> None:
         os.makedirs(folder, exist_ok=True)
-        for row in part:
-            place = os.path.join(folder, row["name"])
-            Path(f"{place}.tmp").write_bytes(row["bytes"])
-            os.replace(f"{place}.tmp", place)
+        for batch in batches:
+            for row in batch.to_pylist():
+                data = encode(decode(row["bytes"]), image_format, quality) if image_format else row["bytes"]
+                place = os.path.join(folder, row["name"])
+                Path(f"{place}.{os.getpid()}.tmp").write_bytes(data)
+                os.replace(f"{place}.{os.getpid()}.tmp", place)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
 
-    rows.select("name", "bytes").foreachPartition(run)
+    bound_batches(rows.sparkSession, 64, 64 << 20)
+    return rows.select("name", "bytes").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def export_images(images: DataFrame, folder: str, limit: int | None = None) -> int:
@@ -184,17 +195,34 @@ def export_images(images: DataFrame, folder: str, limit: int | None = None) -> i
     if limit is not None:
         rows = rows.orderBy("source_shard", "source_index").limit(limit)
     named = output_names(rows).select("name", F.col("jpg.bytes").alias("bytes"))
-    write_files(named, folder)
-    return named.count()
-
-
-def export_embedded(table: DataFrame, folder: str, prefix: str = "patch", ending: str = "jpg", limit: int | None = None) -> int:
-    """Bytes of (task_id, image_bytes) as files; empty ones are skipped, and the limit counts files."""
-    full = table.where(F.col("image_bytes").isNotNull() & (F.octet_length("image_bytes") > 0))
-    nth = F.row_number().over(Window.orderBy("task_id")) if limit is not None else None
-    if nth is not None:
-        full = full.orderBy("task_id").limit(limit)
-    name = F.concat(F.lit(f"{prefix}_"), slugify(F.col("task_id"), "task"), F.lit("_"), F.substring(F.md5("image_bytes"), 1, 8), F.lit(f".{ending}"))
-    rows = full.select(name.alias("name"), F.col("image_bytes").alias("bytes"))
-    write_files(rows, folder)
-    return rows.count()
+    return write_files(named, folder)
+
+
+def embedded_names(table: DataFrame, ending: str = "jpg", limit: int | None = None) -> DataFrame:
+    """(name, bytes) of rows (task_id, image_bytes) that hold bytes: the task and the row's place in the table from 1.
+
+    The place counts rows without bytes, too. Rows are in order of task and bytes, so repeats get places of their own;
+    ``limit`` counts what is written.
+    """
+    from siftwell.tables import settle
+
+    rows = table.select("task_id", "image_bytes", F.md5("image_bytes").alias("print"))
+    # places come from counts of tasks: no task orders the whole table
+    counts = rows.groupBy("task_id").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy(F.col("task_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
+    counts = settle(counts.select(F.col("task_id").alias("t"), F.coalesce(before, F.lit(0)).alias("before")))
+    nth = F.row_number().over(Window.partitionBy("task_id").orderBy("print"))
+    placed = rows.withColumn("nth", nth).join(counts, F.col("task_id").eqNullSafe(F.col("t")))
+    place = (F.col("before") + F.col("nth")).alias("place")
+    full = placed.select("task_id", "image_bytes", place).where(F.octet_length("image_bytes") > 0)
+    if limit is not None:
+        full = full.orderBy("place").limit(limit)
+    digits = F.col("place").cast("string")
+    padded = F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits)
+    name = F.concat(F.coalesce(F.col("task_id").cast("string"), F.lit("patches")), F.lit("_patch_"), padded, F.lit(f".{ending}"))
+    return full.select(name.alias("name"), F.col("image_bytes").alias("bytes"))
+
+
+def export_embedded(table: DataFrame, folder: str, ending: str = "jpg", limit: int | None = None, quality: int = 95) -> int:
+    """Bytes of (task_id, image_bytes) as image files of one format; returns how many."""
+    return write_files(embedded_names(table, ending, limit), folder, ending, quality)

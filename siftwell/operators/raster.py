@@ -324,6 +324,27 @@ def stain_jitter(rgb: np.ndarray, shift: tuple[float, float], gain: tuple[float,
     return np.clip(np.rint(np.exp(-np.maximum(both, 0) @ _BASIS.T) * 255), 0, 255).astype(np.uint8)
 
 
+# fixed values: colours of hematoxylin, eosin and DAB as optical densities, one stain a row
+HED = [[0.65, 0.70, 0.29], [0.07, 0.99, 0.11], [0.27, 0.57, 0.78]]
+# fixed values: half widths of gain and shift of each stain, and the weight of DAB, by strength
+HED_STRENGTHS = {
+    "weak": ((0.05, 0.05, 0.02), (0.03, 0.03, 0.01), 0.15),
+    "medium": ((0.12, 0.12, 0.04), (0.06, 0.06, 0.015), 0.2),
+    "strong": ((0.22, 0.22, 0.06), (0.12, 0.12, 0.02), 0.25),
+}
+
+
+def hed_jitter(rgb: np.ndarray, strength: str, seed: int) -> np.ndarray:
+    """Three stains, each scaled and shifted by seeded draws, DAB weakened, and back to 8-bit colour."""
+    if strength not in HED_STRENGTHS:
+        raise ValueError(f"unknown strength {strength!r}: choose one of {sorted(HED_STRENGTHS)}")
+    gain, shift, weight = (np.array(x) for x in HED_STRENGTHS[strength])
+    draw = np.random.default_rng(seed).uniform(-1, 1, (2, 3))
+    stains = -np.log(np.clip(rgb / 255.0, 1e-6, 1)) @ np.linalg.inv(np.array(HED))
+    stains = (stains * (1 + draw[0] * gain) + draw[1] * shift) * np.array([1, 1, weight])
+    return np.rint(np.clip(np.exp(-stains @ np.array(HED)), 0, 1) * 255).astype(np.uint8)
+
+
 def permute_channels(rgb: np.ndarray, order: tuple[int, int, int]) -> np.ndarray:
     """Colour channels in another order."""
     if sorted(order) != [0, 1, 2]:

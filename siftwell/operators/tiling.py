@@ -121,9 +121,15 @@ def describe_images(images: DataFrame, options: PatchOptions = PatchOptions()) -
 
 def local_select(images: DataFrame, options: PatchOptions = PatchOptions()) -> DataFrame:
     """Candidates of all images: tiles described, compared with neighbours, scored and thinned per sample."""
+    return select_and_report(images, options)[0]
+
+
+def select_and_report(images: DataFrame, options: PatchOptions = PatchOptions()) -> tuple[DataFrame, DataFrame]:
+    """The candidates of all images, and (source_shard, source_index, sample_id, error) of those that cannot be read."""
     from siftwell.tables import settle
 
     tiles = settle(describe_images(images, options))
     good = tiles.where(F.col("error").isNull()).drop("error")
     chosen = select_coreset(local_scores(neighbor_features(good), options), options)
-    return chosen.withColumn("descriptor_backend", F.lit("spark")).select(*CANDIDATE)
+    failed = tiles.where(F.col("error").isNotNull()).select("source_shard", "source_index", "sample_id", "error")
+    return chosen.withColumn("descriptor_backend", F.lit("spark")).select(*CANDIDATE), failed

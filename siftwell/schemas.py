@@ -23,6 +23,7 @@ SEMANTIC_FEATURES = [
     "h_mean", "h_q10", "h_q90", "d_mean", "d_q10", "d_q90", "d_hist_25_50", "d_hist_50_75", "d_hist_75_100",
     "d_pos_mean", "nuclei_frac", "dab_in_nuc_frac", "dab_ring_frac", "dab_extra_frac", "compartment_margin",
 ]
+# fixed values: roles, scores, metadata and candidate columns, in order
 ROLES = ("prototype", "positive_tail", "interface", "rare_state")
 ROLE_SCORES = {"prototype": "prototype_score", "positive_tail": "positive_tail_score", "interface": "interface_role_score", "rare_state": "rare_state_score"}
 SCORES = [
@@ -47,7 +48,7 @@ TILE = T.StructType(
     + [T.StructField(n, T.FloatType()) for n in BASE_FEATURES]
 )
 
-#: A selected candidate.
+# fixed values: columns of a selected candidate, in order
 CANDIDATE = (
     ["sample_id", "sample_slug", "source_shard", "source_index", "patch_index", "patch_size", "patch_x", "patch_y", "scale_level", "scale_factor",
      "grid_row", "grid_col", "image_width", "image_height", "scaled_image_width", "scaled_image_height", "local_valid_patch_count", "selection_rank",

@@ -5,6 +5,7 @@ Listing and reading go through Arrow's file systems, so a shard may lie in any s
 
 from __future__ import annotations
 
+import json
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,18 @@ def prune_split(names: list[str], split: str = "all") -> list[str]:
     return kept
 
 
+def _store(path: str):
+    """The Arrow file system of an address, and the path within it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def discover(path: str, split: str = "all") -> list[str]:
     """Sorted ``.arrow`` files of a folder (its own, else any below), or the file itself."""
     from pyarrow import fs
 
-    system, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    system, root = _store(path)
     info = system.get_file_info(root)
     if info.type == fs.FileType.File:
         if not root.endswith(".arrow"):
@@ -50,23 +58,25 @@ def discover(path: str, split: str = "all") -> list[str]:
 
 
 class _Shard(InputPartition):
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, store: str) -> None:
         super().__init__(path)
-        self.path = path
+        self.path, self.store = path, store
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.shards = discover(options["path"], options.get("split", "all"))
+        self.store = options["path"]
+        listed = options.get("files")
+        self.shards = json.loads(listed) if listed else discover(self.store, options.get("split", "all"))
 
     def partitions(self):
-        return [_Shard(s) for s in self.shards]
+        return [_Shard(s, self.store) for s in self.shards]
 
     def read(self, partition):
         import pyarrow as pa
-        from pyarrow import fs
 
-        with fs.LocalFileSystem().open_input_file(partition.path) as source:
+        # the shard lies in the store that the folder's address names
+        with _store(partition.store)[0].open_input_file(partition.path) as source:
             try:
                 reader = pa.ipc.open_stream(source)
                 batches = iter(reader)
@@ -82,8 +92,6 @@ class _Reader(DataSourceReader):
                 name = picture.field("path").cast(pa.string()) if "path" in [f.name for f in picture.type] else pa.nulls(n, pa.string())
                 told = batch.column("json") if "json" in batch.schema.names else pa.nulls(n, pa.string())
                 if not pa.types.is_string(told.type):
-                    import json
-
                     told = pa.array([None if v is None else json.dumps(v) for v in told.to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [raw, name, told, pa.array([partition.path] * n, pa.string()), pa.array(range(at, at + n), pa.int64())],
@@ -106,10 +114,11 @@ class ArrowShards(DataSource):
         return _Reader(self.options)
 
 
-def read_shards(spark: SparkSession, path: str, split: str = "all") -> DataFrame:
-    """Image records (jpg struct, json) with their shard and index."""
+def read_shards(spark: SparkSession, path: str, split: str = "all", files: list[str] | None = None) -> DataFrame:
+    """Image records (jpg struct, json) with their shard and index; ``files`` are some that ``discover`` has found."""
     spark.dataSource.register(ArrowShards)
-    rows = spark.read.format("arrow_shards").option("split", split).load(path)
+    reader = spark.read.format("arrow_shards").option("split", split)
+    rows = (reader.option("files", json.dumps(files)) if files is not None else reader).load(path)
     return rows.select(F.struct("bytes", "path").alias("jpg"), "json", "source_shard", "source_index")
 
 

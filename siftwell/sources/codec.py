@@ -1,4 +1,4 @@
-"""Image codecs: PNG in NumPy; other formats through Pillow where it is installed."""
+"""Image codecs: PNG and baseline JPEG in NumPy; all else through Pillow where it is installed."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import zlib
 
 import numpy as np
 
+from siftwell.sources import jpeg
+
 _MAGIC = b"\x89PNG\r\n\x1a\n"
 _CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 
@@ -80,18 +82,20 @@ def decode(data: bytes) -> np.ndarray:
     try:
         from PIL import Image
     except ImportError:
-        raise ValueError("images other than 8-bit PNG need Pillow") from None
+        if data[:2] == b"\xff\xd8":
+            return jpeg.decode(data)
+        raise ValueError("images other than 8-bit PNG and baseline JPEG need Pillow") from None
     return np.asarray(Image.open(io.BytesIO(data)).convert("RGB"))
 
 
 def encode(rgb: np.ndarray, image_format: str = "png", quality: int = 95) -> bytes:
-    """An image in the given format; all but PNG need Pillow."""
+    """An image as PNG or JPEG."""
     if image_format.lower() == "png":
         return encode_png(rgb)
     try:
         from PIL import Image
     except ImportError:
-        raise ValueError(f"writing {image_format} needs Pillow") from None
+        return jpeg.encode(rgb, quality)
     out = io.BytesIO()
     Image.fromarray(rgb).save(out, format="JPEG", quality=quality)
     return out.getvalue()

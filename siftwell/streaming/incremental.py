@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siftwell.files import exists, read_text, write_text
+
 
 class SignatureMismatch(RuntimeError):
     """The stored run was made with other options."""
@@ -15,14 +16,13 @@ class SignatureMismatch(RuntimeError):
 
 def check_signature(folder: str, signature: dict) -> bool:
     """Record the signature of a run, or compare with the one recorded; True if the run was already there."""
-    place = Path(folder) / "_signature.json"
+    spark, place = SparkSession.active(), f"{folder}/_signature.json"
     told = json.dumps(signature, sort_keys=True)
-    if place.exists():
-        if place.read_text() != told:
+    if exists(spark, place):
+        if read_text(spark, place) != told:
             raise SignatureMismatch(f"the run in {folder} does not match the present options")
         return True
-    place.parent.mkdir(parents=True, exist_ok=True)
-    place.write_text(told)
+    write_text(spark, place, told)
     return False
 
 

@@ -274,8 +274,13 @@ def test_null_shards_are_refused(spark, shards):
 def test_whole_images_and_embedded_bytes(spark, shards, tmp_path):
     assert export.export_images(arrow_shards.read_shards(spark, str(shards)), str(tmp_path / "i")) == 3
     assert len(list((tmp_path / "i").iterdir())) == 3
-    table = spark.createDataFrame([("a", b"1"), ("b", b""), ("c", None), ("d", b"2")], "task_id string, image_bytes binary")
-    assert export.export_embedded(table, str(tmp_path / "e"), limit=1) == 1 and export.export_embedded(table, str(tmp_path / "f")) == 2
+    one, two = (codec.encode_png(np.full((4, 6, 3), c, np.uint8)) for c in (30, 200))
+    table = spark.createDataFrame([("a", one), ("a", one), ("b", b""), (None, two), ("d", two), ("e", None)], "task_id string, image_bytes binary")
+    assert export.export_embedded(table, str(tmp_path / "e"), limit=1) == 1 and export.export_embedded(table, str(tmp_path / "f")) == 4
+    got = {f.name: codec.decode(f.read_bytes()) for f in (tmp_path / "f").iterdir()}
+    # places count rows without bytes, repeats have places of their own, and files are what their ending says
+    assert sorted(got) == ["a_patch_00002.jpg", "a_patch_00003.jpg", "d_patch_00005.jpg", "patches_patch_00001.jpg"]
+    assert all(f.read_bytes()[:2] == b"\xff\xd8" for f in (tmp_path / "f").iterdir()) and np.abs(got["a_patch_00002.jpg"].astype(int) - 30).max() <= 2
 
 
 def test_image_run(spark):
