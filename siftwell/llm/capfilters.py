@@ -11,7 +11,7 @@ drawn for the dimension and the code, and the list grows until ``RECALL`` of the
 share one more often.
 
 Members of a filter meet twice. First with ``BITS`` signs of random projections each: who has nobody within
-``MOST_BITS`` of its signs leaves (a linked pair is further apart with a probability below 1e-9). Those that
+``MOST_BITS`` of its signs leaves (a pair at the link's cosine is further apart with a probability below 1e-6). Those that
 stay fetch their vectors and are compared exactly; a pair counts only in its first common filter, and a task emits
 each member's link count and a spanning forest, never the pairs. Both happen in blocks of at most ``BLOCK``.
 Equal vectors are one class beforehand, so a large group of copies costs one vector.
@@ -47,7 +47,7 @@ BLOCK = 1500
 #: Members of an ordinary filter if a vector is in USUAL_LIST of them.
 LOAD, USUAL_LIST = 500, 16
 #: Signs of a sketch, and the most that may differ: 13 do on average at a cosine of 0.95, 64 among strangers.
-BITS, MOST_BITS = 128, 40
+BITS, MOST_BITS = 128, 32
 #: Sums of parts worked on at once.
 _SUMS = 1 << 20
 
