@@ -124,7 +124,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, max_epochs=MAX_EPOCHS, se
     plan = _plan(settle(_sizes(docs, seed)), weights, share, max_epochs)
     plan = plan.select(F.col("source").alias("mix_source"), "cut", "whole")
     names = docs.columns
-    rows = docs.select(F.struct(*names).alias("row"), order_key(seed, "doc_id").alias("key"), F.col("source").alias("own_source"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), order_key(seed, "doc_id").alias("key"), F.col("source").alias("own_source"))
     joined = rows.join(small(plan), F.col("own_source").eqNullSafe(F.col("mix_source")))
     copies = F.explode(F.array_repeat(F.lit(1), _repeats(max_epochs).cast("int")))
     return joined.select("row", copies.alias("copy")).select("row.*")
