@@ -239,6 +239,23 @@ def test_fingerprints_of_odd_tables(spark):
     assert simhash.fingerprint_documents(_docs(spark, [(1, "a", "x")] * 3 + [(None, None, None)] * 2)).count() == 5
 
 
+def test_very_long_texts(spark):
+    """Sharding, mixing and fingerprints take whole texts."""
+    long = "wörd other " * 200_000
+    rows = [(1, long, "a"), (2, "x", "a"), (3, None, "b"), (20, "one two " * 15_000 + "three", "b")]
+    docs = _docs(spark, rows)
+    got = {r["doc_id"]: r for r in sharding.shard(docs).collect()}
+    assert (got[1]["size"], got[1]["text_crc32"]) == (len(long.encode()) + 1, zlib.crc32(long.encode()))
+    taken = {r["doc_id"]: r for r in mixing.mixed_sizes(docs).collect()}
+    assert taken[1]["size"] == 400_000 and taken[20]["size"] == 30_001 and all(r["taken"] <= 2 * r["size"] for r in taken.values())
+    prints = {r["doc_id"]: r for r in simhash.fingerprint_documents(docs).collect()}
+    h = _hash_words(spark, ["wörd", "other", "one", "two", "three"])
+    vote = lambda words: sum(1 << b for b in range(64) if 2 * sum(n * (h[w] >> b & 1) for w, n in words.items()) > sum(words.values()))
+    assert int(prints[1]["fingerprint"], 16) == vote({"wörd": 200_000, "other": 200_000})
+    assert int(prints[20]["fingerprint"], 16) == vote({"one": 15_000, "two": 15_000, "three": 1})
+    assert prints[1]["n_chars"] == len(long)
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_matches_sql(spark, duck, name):
     told = lambda table: sorted(str(sorted(row.items())) for row in table.to_pylist())
